@@ -9,26 +9,34 @@ from pyspark.sql import types as T
 MICROS_PER_DAY = 86_400_000_000
 
 
-def staged(df: DataFrame, name: str, dtype: str) -> Column:
-    """Cast raw column ``name`` to the staged type ``dtype``.
+def staged(source: T.DataType, name: str, dtype: str) -> Column:
+    """Cast raw column ``name`` (of type ``source``) to the staged type ``dtype``.
 
     Raw text (the CSV path) is parsed with the ``try_`` family, so malformed
     values become NULL instead of failing the job under ANSI mode. Already
     typed input (the parquet path) is cast directly; a timestamp without
     time zone becomes a session-zone timestamp with the same wall clock.
     """
-    source = df.schema[name].dataType
     col = F.col(name)
     if isinstance(source, T.StringType):
         if dtype == "timestamp":
             return F.try_to_timestamp(col)
+        if dtype == "string":
+            return col
         return col.try_cast(dtype)
+    if source.simpleString() == dtype:
+        return col
     return col.try_cast(dtype)
 
 
-def malformed(df: DataFrame, name: str, dtype: str) -> Column:
+def column_types(df: DataFrame) -> dict[str, T.DataType]:
+    """Column name -> type, fetched once (each ``df.schema`` is a JVM round trip)."""
+    return {f.name: f.dataType for f in df.schema.fields}
+
+
+def malformed(source: T.DataType, name: str, dtype: str) -> Column:
     """True where raw ``name`` holds a value that does not parse as ``dtype``."""
-    return F.col(name).isNotNull() & staged(df, name, dtype).isNull()
+    return F.col(name).isNotNull() & staged(source, name, dtype).isNull()
 
 
 def whole_days(end: Column | str, start: Column | str) -> Column:

@@ -14,8 +14,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
+from ..functions.aggregates import exact_mean
 from ..functions.columns import safe_ratio
 
+#: Money totals: exact decimals, wide enough for any realistic total.
+MONEY_TOTAL = T.DecimalType(38, 2)
+
 SEMANTIC_ORDER_COLUMNS = (
     "order_id",
     "customer_unique_id",
@@ -77,7 +83,7 @@ class SemanticModel:
 
 
 def _sum(c: str) -> Callable[[], Column]:
-    return lambda: F.sum(c)
+    return lambda: F.sum(c).cast(MONEY_TOTAL)
 
 
 def _distinct(c: str) -> Callable[[], Column]:
@@ -98,14 +104,14 @@ ORDER_METRICS = SemanticModel(
         Measure("freight_revenue", _sum("freight_revenue"), "Sum of freight values."),
         Measure(
             "order_total_value",
-            lambda: F.sum("merchandise_revenue") + F.sum("freight_revenue"),
+            lambda: (F.sum("merchandise_revenue") + F.sum("freight_revenue")).cast(MONEY_TOTAL),
             "Merchandise plus freight revenue.",
         ),
         Measure("orders", _distinct("order_id"), "Distinct orders."),
         Measure("customers", _distinct("customer_unique_id"), "Distinct customers by person id."),
         Measure(
             "average_order_value",
-            lambda: safe_ratio(F.sum("merchandise_revenue"), F.count_distinct("order_id")),
+            lambda: safe_ratio(F.sum("merchandise_revenue").cast("double"), F.count_distinct("order_id")),
             "Merchandise revenue divided by distinct orders.",
         ),
         Measure(
@@ -115,7 +121,8 @@ ORDER_METRICS = SemanticModel(
         ),
         Measure(
             "average_review_score",
-            lambda: F.avg("average_review_score"),
+            # order-independent mean: identical digits on every run
+            lambda: exact_mean("average_review_score", 9),
             "Average of per-order review averages, orders with a review only.",
         ),
         Measure(

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import malformed, month_start, staged
+from ..functions.columns import column_types, malformed, month_start, staged
 
 # (raw column, staged type, staged name)
 Spec = tuple[tuple[str, str, str], ...]
@@ -120,7 +120,8 @@ STAGING: dict[str, tuple[str, Spec]] = {
 def stage(name: str, raw: DataFrame) -> DataFrame:
     """Typed projection ``name`` (a key of :data:`STAGING`) over its raw table."""
     _, spec = STAGING[name]
-    cols: list[Column] = [staged(raw, src, dtype).alias(out) for src, dtype, out in spec]
+    types = column_types(raw)
+    cols: list[Column] = [staged(types[src], src, dtype).alias(out) for src, dtype, out in spec]
     df = raw.select(*cols)
     if name == "stg_orders":
         purchase = F.col("order_purchase_timestamp")
@@ -141,8 +142,9 @@ def coercion_counts(name: str, raw: DataFrame) -> DataFrame:
         return raw.sparkSession.range(1).select(
             F.lit(name).alias("table"), F.lit(0).cast("long").alias("coerced_values")
         )
+    types = column_types(raw)
     failed = None
     for src, dtype in typed:
-        count = F.count_if(malformed(raw, src, dtype))
+        count = F.count_if(malformed(types[src], src, dtype))
         failed = count if failed is None else failed + count
     return raw.agg(failed.alias("coerced_values")).select(F.lit(name).alias("table"), "coerced_values")
