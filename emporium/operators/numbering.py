@@ -46,9 +46,9 @@ def number_within(
         .filter(F.col("count") > F.lit(hot_threshold))
         .select(key)
     )
-    # Bounded: at most rows / hot_threshold keys exist. Only their presence is
-    # fetched here, never the table.
-    if not hot_keys.take(1):
+    # Bounded: at most rows / hot_threshold keys exist. Only their number
+    # reaches the driver (one aggregate job), never the keys or the table.
+    if hot_keys.agg(F.count(F.lit(1)).alias("n")).first()["n"] == 0:
         return _window_number(df, key, order, out)
 
     spark = df.sparkSession

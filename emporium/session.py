@@ -52,6 +52,7 @@ def local_session(
     shuffle_partitions: int = 8,
     app_name: str = "emporium",
     driver_memory: str = "8g",
+    warehouse_dir: str | None = None,
 ) -> SparkSession:
     """A local session for tests and the bench (not for cluster use)."""
     builder = (
@@ -61,8 +62,11 @@ def local_session(
         .config("spark.default.parallelism", str(shuffle_partitions))
         .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if warehouse_dir:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse_dir)
     for key, value in MODEL_SQL_CONF.items():
         builder = builder.config(key, value)
     active = SparkSession.getActiveSession()
