@@ -423,6 +423,33 @@ FROM (SELECT unnest(generate_series(CAST(min(purchase_date) AS TIMESTAMP),
       FROM stg_orders)""",
 }
 
+
+
+def _listed(select: str, fields: list[str], order: str, name: str) -> str:
+    struct = "{" + ", ".join(f"'{f}': {f}" for f in fields) + "}"
+    return f"(SELECT list({struct} ORDER BY {order}) AS {name} FROM ({select}))"
+
+
+_KPI_FIELDS = ["merchandise_revenue", "freight_revenue", "orders", "customers", "average_review_score",
+               "on_time_delivery_rate", "average_order_value"]
+
+REPORTS["metric_snapshot"] = (
+    "SELECT CAST(to_json({'kpis': kpis, 'monthly_sales': monthly_sales, 'top_categories': top_categories, "
+    "'state_performance': state_performance, 'delivery_distribution': delivery_distribution}) AS VARCHAR) "
+    "AS snapshot FROM "
+    + "(SELECT {" + ", ".join(f"'{f}': {f}" for f in _KPI_FIELDS) + "} AS kpis FROM (" + REPORTS["kpis"] + ")), "
+    + _listed(REPORTS["monthly_sales"], ["purchase_month", "merchandise_revenue", "orders"],
+              "purchase_month ASC NULLS FIRST", "monthly_sales") + ", "
+    + _listed(_TOP_CATEGORIES, ["category", "merchandise_revenue", "orders"],
+              "merchandise_revenue DESC, category ASC", "top_categories") + ", "
+    + _listed(REPORTS["state_performance"]
+              + " ORDER BY merchandise_revenue DESC NULLS LAST, state ASC NULLS LAST LIMIT 8",
+              ["state", "merchandise_revenue", "orders", "on_time_delivery_rate", "average_review_score"],
+              "merchandise_revenue DESC, state ASC", "state_performance") + ", "
+    + _listed(REPORTS["delivery_distribution"], ["delivery_bucket", "orders"],
+              "orders DESC, delivery_bucket ASC", "delivery_distribution")
+)
+
 # --- metric catalogue queries ---------------------------------------------
 
 _ORDER_MEASURES = {
