@@ -29,6 +29,20 @@ def staged(source: T.DataType, name: str, dtype: str) -> Column:
     return col.try_cast(dtype)
 
 
+def staged_sql(source: T.DataType, name: str, dtype: str) -> str:
+    """SQL text of :func:`staged` (for projections built in one call)."""
+    col = f"`{name}`"
+    if isinstance(source, T.StringType):
+        if dtype == "timestamp":
+            return f"try_to_timestamp({col})"
+        if dtype == "string":
+            return col
+        return f"try_cast({col} AS {dtype})"
+    if source.simpleString() == dtype:
+        return col
+    return f"try_cast({col} AS {dtype})"
+
+
 def column_types(df: DataFrame) -> dict[str, T.DataType]:
     """Column name -> type, fetched once (each ``df.schema`` is a JVM round trip)."""
     return {f.name: f.dataType for f in df.schema.fields}

@@ -10,21 +10,46 @@ from pyspark.sql import functions as F
 _CARDINALITIES = {"many_to_one", "one_to_one", "one_to_many", "many_to_many"}
 
 
-def guard_unique(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+def guard_unique(df: DataFrame, keys: Sequence[str], label: str, strategy: str = "marker") -> DataFrame:
     """``df`` unchanged, but the query fails if ``keys`` repeat in it.
 
-    The duplicate count is a window on the key. A join on the same key needs
-    that hash partitioning anyway, so the check rides on the join's own
-    shuffle instead of running a separate job. The failing condition sits in
-    a filter, so the optimizer cannot prune it away.
+    ``marker`` (default): a separate aggregate over the keys yields at most
+    one row when a key repeats; that row is broadcast onto ``df`` and raises.
+    ``df`` itself is not repartitioned, so a following join keeps its plain
+    shuffle and AQE can still split a skewed key on the other side, or
+    broadcast ``df`` when it is small.
+
+    ``window``: a count over a window on the key. It rides on the hash
+    partitioning a join on the same key needs anyway (no extra job), but the
+    window sits between that shuffle and the join, which stops AQE from
+    splitting skewed partitions. Use it only when the other side of the join
+    is unique on the key too (no skew is possible), e.g. joins between
+    per-order aggregates.
+
+    The failing condition sits in a filter, so the optimizer cannot prune it.
     """
     keys = list(keys)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     message = F.lit(f"duplicate key ({', '.join(keys)}) in {label}")
+    if strategy == "window":
+        n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+        return (
+            df.withColumn("_key_rows", n)
+            .where(F.when(F.col("_key_rows") > 1, F.raise_error(message)).isNull())
+            .drop("_key_rows")
+        )
+    if strategy != "marker":
+        raise ValueError("strategy must be 'marker' or 'window'")
+    duplicated = (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > 1)
+        .limit(1)
+        .select(F.lit(True).alias("_duplicated"))
+    )  # at most one row
     return (
-        df.withColumn("_key_rows", n)
-        .where(F.when(F.col("_key_rows") > 1, F.raise_error(message)).isNull())
-        .drop("_key_rows")
+        df.join(F.broadcast(duplicated), how="left")
+        .where(F.when(F.col("_duplicated"), F.raise_error(message)).isNull())
+        .drop("_duplicated")
     )
 
 

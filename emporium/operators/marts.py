@@ -193,7 +193,9 @@ def fct_orders(
     the delivery-distribution buckets use. The on-time flag is NULL (not
     evaluable) unless the order is delivered and both dates are known.
     """
-    orders = guard_unique(stg_orders, ["order_id"], "orders")
+    # Every input of the next three joins is unique on order_id, so no key can
+    # be skewed there; the window check shares their shuffle.
+    orders = guard_unique(stg_orders, ["order_id"], "orders", strategy="window")
     joined = (
         orders.join(order_item_metrics(stg_order_items), "order_id", "left")
         .join(order_payment_metrics(stg_order_payments), "order_id", "left")

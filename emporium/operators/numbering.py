@@ -5,10 +5,12 @@ one task. That is fine while groups are bounded, but a key holding a large
 share of the table would then be sorted by a single task. This operator
 splits the work:
 
-* a first aggregate counts rows per key (combined map-side, so even a hot key
-  costs one row per map task) and keeps the keys above ``hot_threshold``;
-  there can be at most ``rows / hot_threshold`` of them, which bounds what is
-  broadcast;
+* hot keys are found on a seeded sample (one scan of the key column and a
+  tiny aggregate, not a full group-by): a key with ``hot_threshold`` rows
+  shows up about ``sample_rows`` times, and a key is taken as hot from half
+  that. The hot set is bounded by ``2 * rows / hot_threshold`` keys, which
+  bounds what is broadcast. A wrong call only changes the strategy, never the
+  numbers: both paths number every key completely;
 * keys below the threshold take the plain window (one shuffle on the key);
 * hot keys are range-partitioned on the full sort order, so one key spreads
   over many partitions. Each row's global position is its position inside
@@ -30,6 +32,25 @@ from pyspark.sql import functions as F
 _PARTITION_BITS = 33  # monotonically_increasing_id keeps the partition index above bit 33
 
 
+#: (plan hash, threshold) -> whether hot keys exist; the answer only picks a
+#: strategy (both give identical numbers), so reusing it is always safe.
+_HOT_DECISIONS: dict[tuple[int, int], bool] = {}
+
+
+def hot_keys(df: DataFrame, key: str, hot_threshold: int, sample_rows: int = 2000) -> DataFrame:
+    """Keys that probably hold more than ``hot_threshold`` rows (from a sample)."""
+    fraction = min(1.0, sample_rows / hot_threshold)
+    cut = max(1, int(hot_threshold * fraction / 2))
+    return (
+        df.select(key)
+        .sample(fraction=fraction, seed=7)
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_sampled"))
+        .where(F.col("_sampled") >= cut)
+        .select(key)
+    )
+
+
 def number_within(
     df: DataFrame,
     key: str,
@@ -40,23 +61,20 @@ def number_within(
 ) -> DataFrame:
     """Add ``out`` = 1-based position of each row within ``key`` ordered by ``order``."""
     order = list(order)
-    hot_keys = (
-        df.groupBy(key)
-        .count()
-        .filter(F.col("count") > F.lit(hot_threshold))
-        .select(key)
-    )
-    # Bounded: at most rows / hot_threshold keys exist. Only their number
-    # reaches the driver (one aggregate job), never the keys or the table.
-    if hot_keys.agg(F.count(F.lit(1)).alias("n")).first()["n"] == 0:
+    hot = hot_keys(df, key, hot_threshold)
+    memo = (df.semanticHash(), hot_threshold)
+    if memo not in _HOT_DECISIONS:
+        # Only a count reaches the driver (one small job), never keys or rows.
+        _HOT_DECISIONS[memo] = hot.agg(F.count(F.lit(1)).alias("n")).first()["n"] > 0
+    if not _HOT_DECISIONS[memo]:
         return _window_number(df, key, order, out)
 
     spark = df.sparkSession
-    cold = df.join(F.broadcast(hot_keys), key, "left_anti")
-    hot = df.join(F.broadcast(hot_keys), key, "left_semi")
+    cold = df.join(F.broadcast(hot), key, "left_anti")
+    hot_rows = df.join(F.broadcast(hot), key, "left_semi")
     numbered_cold = _window_number(cold, key, order, out)
     n = hot_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered_hot = _range_number(hot, key, order, out, n)
+    numbered_hot = _range_number(hot_rows, key, order, out, n)
     return numbered_cold.unionByName(numbered_hot)
 
 

@@ -7,10 +7,10 @@ the casts themselves.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import column_types, malformed, month_start, staged
+from ..functions.columns import column_types, malformed, staged_sql
 
 # (raw column, staged type, staged name)
 Spec = tuple[tuple[str, str, str], ...]
@@ -121,14 +121,14 @@ def stage(name: str, raw: DataFrame) -> DataFrame:
     """Typed projection ``name`` (a key of :data:`STAGING`) over its raw table."""
     _, spec = STAGING[name]
     types = column_types(raw)
-    cols: list[Column] = [staged(types[src], src, dtype).alias(out) for src, dtype, out in spec]
-    df = raw.select(*cols)
+    exprs = [f"{staged_sql(types[src], src, dtype)} AS `{out}`" for src, dtype, out in spec]
     if name == "stg_orders":
-        purchase = F.col("order_purchase_timestamp")
-        df = df.withColumn("purchase_date", F.to_date(purchase)).withColumn(
-            "purchase_month", month_start(purchase)
-        )
-    return df
+        purchase = staged_sql(types["order_purchase_timestamp"], "order_purchase_timestamp", "timestamp")
+        exprs += [
+            f"to_date({purchase}) AS purchase_date",
+            f"cast(date_trunc('month', {purchase}) AS date) AS purchase_month",
+        ]
+    return raw.selectExpr(*exprs)
 
 
 def coercion_counts(name: str, raw: DataFrame) -> DataFrame:

@@ -7,12 +7,14 @@ the other twenty.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import session as _session
+from ..session import checkpoint_dir
 from ..operators import marts, semantic
 from ..operators.staging import STAGING, stage
 from ..sources.tables import LazyTables
@@ -44,6 +46,26 @@ class Model:
             return self.raw[name[4:]]
         return getattr(self, name)
 
+    def materialize(self, *names: str) -> "Model":
+        """Write relations that several consumers read (e.g. the facts under
+        the quality checks) once, as parquet in the shared
+        ``spark.checkpoint.dir``, and read them back from there.
+
+        One computation per relation, columnar storage, and the lineage is cut:
+        a lost executor re-reads files instead of recomputing the facts. When
+        the session names no checkpoint folder, the relations stay lazy.
+        """
+        spark = self.table(names[0]).sparkSession
+        if not spark.sparkContext.getConf().get("spark.checkpoint.dir", None):
+            return self
+        base = checkpoint_dir(spark).rstrip("/")
+        run = uuid.uuid4().hex
+        for name in names:
+            path = f"{base}/emporium/{run}/{name}"
+            self.table(name).write.mode("error").parquet(path)
+            self.__dict__[name] = spark.read.parquet(path)
+        return self
+
     def _stage(self, name: str) -> DataFrame:
         source, _ = STAGING[name]
         return stage(name, self.raw[source])

@@ -3,9 +3,12 @@ views -> quality report -> build summary -> quality gate.
 
 Every layer that is reused is written as a table and read back, so the
 quality checks and reports run over stored data (an executor lost during the
-checks recomputes from the tables, not from the raw sources), and the facts
-are stored bucketed on ``order_id`` so joins and aggregations between them on
-that key read co-located files.
+checks recomputes from the tables, not from the raw sources).
+
+With ``buckets``, the facts are stored bucketed on ``order_id`` so joins and
+aggregations between them on that key read co-located files. It is off by
+default: every row of one order lands in one bucket, so an order holding a
+large share of the items would make one bucket (and its writer) hot.
 """
 
 from __future__ import annotations
@@ -114,7 +117,7 @@ def build(
         tables[name] = sinks.write_table(
             getattr(model, name),
             f"{layers.gold}.{name}",
-            bucket_by="order_id" if name in FACTS else None,
+            bucket_by="order_id" if (buckets and name in FACTS) else None,
             buckets=buckets,
             description=TABLE_DESCRIPTIONS[name],
             column_descriptions=COLUMN_DESCRIPTIONS,

@@ -38,9 +38,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.numbering import number_within
 from .tables import LazyTables
@@ -53,9 +52,10 @@ TRANSLATED_BRANDS = 15  # brands 1..15 have an English name
 TPCH_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
-def read_tpch(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    """The TPC-H-style tables of ``directory`` as lazy parquet scans."""
-    return {name: spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet") for name in TPCH_TABLES}
+def read_tpch(spark: SparkSession, directory: str) -> LazyTables:
+    """The TPC-H-style tables of ``directory`` as parquet scans (opened on first use)."""
+    base = directory.rstrip("/")
+    return LazyTables({name: (lambda name=name: spark.read.parquet(f"{base}/{name}.parquet")) for name in TPCH_TABLES})
 
 
 def raw_from_tpch(spark: SparkSession, directory: str) -> LazyTables:
@@ -76,165 +76,156 @@ def raw_from_tpch(spark: SparkSession, directory: str) -> LazyTables:
     )
 
 
-def _ts(c: str) -> Column:
-    return F.col(c).cast("timestamp")
-
-
-def _hours(n: Column) -> Column:
-    return F.make_dt_interval(F.lit(0), n.cast("int"))
-
-
-def _days(n: Column) -> Column:
-    return F.make_dt_interval(n.cast("int"))
-
-
-def _code_map(codes: Mapping[str, str], c: str) -> Column:
-    expr = None
-    for code, label in codes.items():
-        expr = (F.when if expr is None else expr.when)(F.col(c) == F.lit(code), F.lit(label))
-    return expr.otherwise(F.col(c))
-
-
-def _zip(c: str) -> Column:
-    return F.lpad(F.col(c).cast("string"), 5, "0")
+def _case(codes: Mapping[str, str], col: str) -> str:
+    whens = " ".join(f"WHEN '{code}' THEN '{label}'" for code, label in codes.items())
+    return f"CASE {col} {whens} ELSE {col} END"
+
+
+def _zip(col: str) -> str:
+    return f"lpad(cast({col} AS string), 5, '0')"
+
+
+_PRICE = "cast(l_extendedprice AS decimal(18,2))"
+
+# The projections are SQL expressions: one call builds a whole projection.
+_ORDERS = [
+    "cast(o_orderkey AS string) AS order_id",
+    "cast(o_custkey AS string) AS customer_id",
+    f"{_case(STATUS_BY_CODE, 'o_orderstatus')} AS order_status",
+    "cast(o_orderdate AS timestamp) AS order_purchase_timestamp",
+    "CASE WHEN o_orderkey % 17 <> 0 THEN cast(o_orderdate AS timestamp)"
+    " + make_dt_interval(0, cast(o_orderkey % 5 - 1 AS int)) END AS order_approved_at",
+    "CASE WHEN o_orderstatus <> 'P' THEN cast(o_orderdate AS timestamp)"
+    " + make_dt_interval(cast(o_orderkey % 4 AS int)) END AS order_delivered_carrier_date",
+    "CASE WHEN o_orderstatus = 'F' THEN cast(o_orderdate AS timestamp)"
+    " + make_dt_interval(cast(o_orderkey % 45 AS int)) + make_dt_interval(0, cast(o_custkey % 24 AS int))"
+    " END AS order_delivered_customer_date",
+    "cast(o_orderdate AS timestamp) + INTERVAL 20 DAYS AS order_estimated_delivery_date",
+]
+
+_ORDER_ITEMS = [
+    "cast(l_orderkey AS string) AS order_id",
+    "order_item_id",
+    "cast(l_partkey AS string) AS product_id",
+    "cast(l_suppkey AS string) AS seller_id",
+    "cast(l_shipdate AS timestamp) AS shipping_limit_date",
+    f"{_PRICE} AS price",
+    f"cast(round({_PRICE} * cast(l_tax AS decimal(18,2)), 2) AS decimal(18,2)) AS freight_value",
+]
+
+_ORDER_PAYMENTS = [
+    "cast(l_orderkey AS string) AS order_id",
+    "l_linenumber AS payment_sequential",
+    f"{_case(PAYMENT_BY_FLAG, 'l_returnflag')} AS payment_type",
+    "cast(l_quantity AS int) AS payment_installments",
+    f"{_PRICE} AS payment_value",
+]
+
+_ORDER_REVIEWS = [
+    "cast(event_id div 2 AS string) AS review_id",
+    "cast(event_id div 3 AS string) AS order_id",
+    "cast(1 + event_id % 5 AS int) AS review_score",
+    "event_type AS review_comment_title",
+    "props AS review_comment_message",
+    "cast(ts AS timestamp) AS review_creation_date",
+    "cast(ts AS timestamp) + INTERVAL 1 DAY AS review_answer_timestamp",
+]
+
+_CUSTOMERS = [
+    "cast(c_custkey AS string) AS customer_id",
+    "cast(c_custkey div 2 AS string) AS customer_unique_id",
+    f"{_zip('c_nationkey')} AS customer_zip_code_prefix",
+    "n_name AS customer_city",
+    "r_name AS customer_state",
+]
+
+_GEOLOCATION = [
+    f"{_zip('c_nationkey')} AS geolocation_zip_code_prefix",
+    "c_acctbal / 1000 AS geolocation_lat",
+    "c_acctbal / 2000 AS geolocation_lng",
+    "c_name AS geolocation_city",
+    "r_name AS geolocation_state",
+]
+
+_PRODUCTS = [
+    "cast(p_partkey AS string) AS product_id",
+    "p_brand AS product_category_name",
+    "cast(length(p_name) AS int) AS product_name_lenght",
+    "cast(p_size * 10 AS int) AS product_description_lenght",
+    "cast(p_size % 4 + 1 AS int) AS product_photos_qty",
+    "cast(p_retailprice AS double) AS product_weight_g",
+    "cast(p_size AS double) AS product_length_cm",
+    "cast(p_size / 2 AS double) AS product_height_cm",
+    "cast(p_size / 4 AS double) AS product_width_cm",
+]
+
+_SELLERS = [
+    "cast(s_suppkey AS string) AS seller_id",
+    f"{_zip('s_nationkey')} AS seller_zip_code_prefix",
+    "n_name AS seller_city",
+    "r_name AS seller_state",
+]
 
 
 def raw_orders(src: Mapping[str, DataFrame]) -> DataFrame:
-    o = src["orders"]
-    key, cust, code = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
-    purchase = _ts("o_orderdate")
-    return o.select(
-        key.cast("string").alias("order_id"),
-        cust.cast("string").alias("customer_id"),
-        _code_map(STATUS_BY_CODE, "o_orderstatus").alias("order_status"),
-        purchase.alias("order_purchase_timestamp"),
-        F.when(key % 17 != 0, purchase + _hours(key % 5 - 1)).alias("order_approved_at"),
-        F.when(code != "P", purchase + _days(key % 4)).alias("order_delivered_carrier_date"),
-        F.when(code == "F", purchase + _days(key % 45) + _hours(cust % 24)).alias(
-            "order_delivered_customer_date"
-        ),
-        (purchase + _days(F.lit(20))).alias("order_estimated_delivery_date"),
-    )
-
-
-def _lines(src: Mapping[str, DataFrame]) -> DataFrame:
-    return src["lineitem"].select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_tax", "l_returnflag", "l_shipdate",
-    )
-
-
-def _price() -> Column:
-    return F.col("l_extendedprice").cast(T.DecimalType(18, 2))
+    return src["orders"].selectExpr(*_ORDERS)
 
 
 def raw_order_items(src: Mapping[str, DataFrame]) -> DataFrame:
+    lines = src["lineitem"].select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_tax", "l_shipdate"
+    )
     numbered = number_within(
-        _lines(src).drop("l_quantity", "l_returnflag"),
+        lines,
         key="l_orderkey",
         order=["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
         out="order_item_id",
     )
-    return numbered.select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
-        "order_item_id",
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("l_suppkey").cast("string").alias("seller_id"),
-        _ts("l_shipdate").alias("shipping_limit_date"),
-        _price().alias("price"),
-        F.round(_price() * F.col("l_tax").cast(T.DecimalType(18, 2)), 2)
-        .cast(T.DecimalType(18, 2))
-        .alias("freight_value"),
-    )
+    return numbered.selectExpr(*_ORDER_ITEMS)
 
 
 def raw_order_payments(src: Mapping[str, DataFrame]) -> DataFrame:
-    return _lines(src).select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
-        F.col("l_linenumber").alias("payment_sequential"),
-        _code_map(PAYMENT_BY_FLAG, "l_returnflag").alias("payment_type"),
-        F.col("l_quantity").cast("int").alias("payment_installments"),
-        _price().alias("payment_value"),
-    )
+    return src["lineitem"].selectExpr(*_ORDER_PAYMENTS)
 
 
 def raw_order_reviews(src: Mapping[str, DataFrame]) -> DataFrame:
-    e = src["events"]
-    eid = F.col("event_id")
-    return e.select(
-        F.expr("cast(event_id div 2 as string)").alias("review_id"),
-        F.expr("cast(event_id div 3 as string)").alias("order_id"),
-        (F.lit(1) + eid % 5).cast("int").alias("review_score"),
-        F.col("event_type").alias("review_comment_title"),
-        F.col("props").alias("review_comment_message"),
-        _ts("ts").alias("review_creation_date"),
-        (_ts("ts") + _days(F.lit(1))).alias("review_answer_timestamp"),
-    )
+    return src["events"].selectExpr(*_ORDER_REVIEWS)
 
 
 def _located(base: DataFrame, nation_key: str, src: Mapping[str, DataFrame]) -> DataFrame:
     nation = src["nation"].select("n_nationkey", "n_name", "n_regionkey")
     region = src["region"].select("r_regionkey", "r_name")
-    return (
-        base.join(nation, base[nation_key] == nation["n_nationkey"], "left")
-        .join(region, F.col("n_regionkey") == region["r_regionkey"], "left")
+    return base.join(nation, base[nation_key] == nation["n_nationkey"], "left").join(
+        region, F.col("n_regionkey") == region["r_regionkey"], "left"
     )
 
 
 def raw_customers(src: Mapping[str, DataFrame]) -> DataFrame:
-    c = src["customer"].select("c_custkey", "c_nationkey")
-    return _located(c, "c_nationkey", src).select(
-        F.col("c_custkey").cast("string").alias("customer_id"),
-        F.expr("cast(c_custkey div 2 as string)").alias("customer_unique_id"),
-        _zip("c_nationkey").alias("customer_zip_code_prefix"),
-        F.col("n_name").alias("customer_city"),
-        F.col("r_name").alias("customer_state"),
-    )
+    return _located(src["customer"], "c_nationkey", src).selectExpr(*_CUSTOMERS)
 
 
 def raw_geolocation(src: Mapping[str, DataFrame]) -> DataFrame:
-    c = src["customer"].select("c_name", "c_nationkey", "c_acctbal")
-    return _located(c, "c_nationkey", src).select(
-        _zip("c_nationkey").alias("geolocation_zip_code_prefix"),
-        (F.col("c_acctbal") / 1000).alias("geolocation_lat"),
-        (F.col("c_acctbal") / 2000).alias("geolocation_lng"),
-        F.col("c_name").alias("geolocation_city"),
-        F.col("r_name").alias("geolocation_state"),
-    )
+    return _located(src["customer"], "c_nationkey", src).selectExpr(*_GEOLOCATION)
 
 
 def raw_products(src: Mapping[str, DataFrame]) -> DataFrame:
-    p = src["part"]
-    size = F.col("p_size")
-    return p.select(
-        F.col("p_partkey").cast("string").alias("product_id"),
-        F.col("p_brand").alias("product_category_name"),
-        F.length("p_name").cast("int").alias("product_name_lenght"),
-        (size * 10).cast("int").alias("product_description_lenght"),
-        (size % 4 + 1).cast("int").alias("product_photos_qty"),
-        F.col("p_retailprice").cast("double").alias("product_weight_g"),
-        size.cast("double").alias("product_length_cm"),
-        (size / 2).cast("double").alias("product_height_cm"),
-        (size / 4).cast("double").alias("product_width_cm"),
-    )
+    return src["part"].selectExpr(*_PRODUCTS)
 
 
 def raw_sellers(src: Mapping[str, DataFrame]) -> DataFrame:
-    s = src["supplier"].select("s_suppkey", "s_nationkey")
-    return _located(s, "s_nationkey", src).select(
-        F.col("s_suppkey").cast("string").alias("seller_id"),
-        _zip("s_nationkey").alias("seller_zip_code_prefix"),
-        F.col("n_name").alias("seller_city"),
-        F.col("r_name").alias("seller_state"),
-    )
+    return _located(src["supplier"], "s_nationkey", src).selectExpr(*_SELLERS)
 
 
 def raw_category_translation(src: Mapping[str, DataFrame]) -> DataFrame:
-    number = F.substring_index("p_brand", "#", -1).try_cast("int")
-    brands = src["part"].select("p_brand").distinct()
-    return brands.where(number.between(1, TRANSLATED_BRANDS)).select(
-        F.col("p_brand").alias("product_category_name"),
-        F.concat(F.lit("line_"), F.lpad(number.cast("string"), 2, "0")).alias(
-            "product_category_name_english"
-        ),
+    """Distinct brands numbered 1..``TRANSLATED_BRANDS`` get the name ``line_NN``."""
+    number = "try_cast(substring_index(p_brand, '#', -1) AS int)"
+    return (
+        src["part"]
+        .select("p_brand")
+        .distinct()
+        .where(f"{number} BETWEEN 1 AND {TRANSLATED_BRANDS}")
+        .selectExpr(
+            "p_brand AS product_category_name",
+            f"concat('line_', lpad(cast({number} AS string), 2, '0')) AS product_category_name_english",
+        )
     )
