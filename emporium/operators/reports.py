@@ -80,15 +80,22 @@ def monthly_sales(model) -> DataFrame:
 
 
 # Q-03
-def top_categories(model, limit: int = 10) -> DataFrame:
-    """The ``limit`` categories with most item revenue (ties broken by name)."""
+def top_categories(model, limit: int = 10, display_ascending: bool = False) -> DataFrame:
+    """The ``limit`` categories with most item revenue (ties broken by name).
+
+    ``display_ascending`` re-sorts the selected rows smallest first (for a
+    horizontal bar chart); the selection itself is unchanged.
+    """
     spm = model.semantic_product_metrics
-    return (
+    top = (
         spm.groupBy(F.col("product_category_name_english").alias("category"))
         .agg(money_total("item_price").alias("merchandise_revenue"), F.count_distinct("order_id").alias("orders"))
         .orderBy(F.col("merchandise_revenue").desc_nulls_last(), F.col("category").asc_nulls_last())
         .limit(limit)
     )
+    if display_ascending:
+        top = top.orderBy(F.col("merchandise_revenue").asc_nulls_first(), F.col("category").desc_nulls_first())
+    return top
 
 
 # Q-04

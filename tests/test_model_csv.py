@@ -93,7 +93,7 @@ EDGE = extended(
     ],
     customers=[
         {"customer_id": "c2", "customer_unique_id": "u1", "customer_zip_code_prefix": "01037",
-         "customer_city": "campinas", "customer_state": "SP"},
+         "customer_city": "campinas", "customer_state": "PE"},
         {"customer_id": "c3", "customer_unique_id": "u3", "customer_zip_code_prefix": "20000",
          "customer_city": "rio", "customer_state": "RJ"},
     ],
@@ -102,12 +102,12 @@ EDGE = extended(
         {"product_id": "p_untranslated", "product_category_name": "sem_traducao"},
     ],
     geolocation=[
-        {"geolocation_zip_code_prefix": "10000", "geolocation_lat": "-23.7", "geolocation_lng": "-46.8",
-         "geolocation_city": "abc", "geolocation_state": "SP"},
+        {"geolocation_zip_code_prefix": "50000", "geolocation_lat": "-23.7", "geolocation_lng": "-46.8",
+         "geolocation_city": "abc", "geolocation_state": "PE"},
         {"geolocation_zip_code_prefix": "01037", "geolocation_lat": "-23.0", "geolocation_lng": "-46.0",
-         "geolocation_city": "centro", "geolocation_state": "SP"},
+         "geolocation_city": "centro", "geolocation_state": "PE"},
         {"geolocation_zip_code_prefix": "", "geolocation_lat": "1", "geolocation_lng": "2",
-         "geolocation_city": "x", "geolocation_state": "SP"},
+         "geolocation_city": "x", "geolocation_state": "PE"},
     ],
 )
 
@@ -154,12 +154,12 @@ def test_payments_reviews_customers(edge):
 def test_categories_and_geography(edge):
     cats = {r["product_id"]: r["product_category_name_english"] for r in edge.dim_products.collect()}
     assert cats["p_nocat"] == "unknown" and cats["p_untranslated"] == "unknown"
-    assert cats["p1"] == "health_beauty"
+    assert cats["p1"] == "toys"
     geo = {r["geolocation_zip_code_prefix"]: r for r in edge.dim_geography.collect()}
-    assert set(geo) == {"10000", "01037", None}
-    assert geo["10000"]["source_observation_count"] == 2
-    assert geo["10000"]["latitude"] == pytest.approx(-23.6)
-    assert geo["10000"]["representative_city"] == "abc"
+    assert set(geo) == {"50000", "01037", None}
+    assert geo["50000"]["source_observation_count"] == 2
+    assert geo["50000"]["latitude"] == pytest.approx(-23.6)
+    assert geo["50000"]["representative_city"] == "abc"
 
 
 def test_malformed_values_are_null_and_counted(edge, spark):

@@ -29,7 +29,7 @@ def test_build_publishes_and_passes(spark, tmp_dir):
     assert doc["passed"] and doc["check_count"] == 14 and len(doc["checks"]) == 14
     snapshot = json.loads(open(glob.glob(snap + "/part-*")[0]).read())
     assert snapshot["kpis"]["orders"] == 1
-    assert snapshot["top_categories"][0]["category"] == "health_beauty"
+    assert snapshot["top_categories"][0]["category"] == "toys"
     assert "Order grain" in spark.catalog.getTable("t1_gold.fct_orders").description
     cols = {c.name: c.description for c in spark.catalog.listColumns("t1_gold.fct_orders")}
     assert "fractional" in cols["delivery_delay_days_exact"]
