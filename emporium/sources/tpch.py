@@ -40,6 +40,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.numbering import number_within
 from .tables import LazyTables
@@ -52,10 +53,23 @@ TRANSLATED_BRANDS = 15  # brands 1..15 have an English name
 TPCH_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
+#: path -> schema read from its footer the first time. Later scans pass it,
+#: so opening a table does not re-run schema inference (a small job each).
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    if path in _SCHEMAS:
+        return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[path] = df.schema
+    return df
+
+
 def read_tpch(spark: SparkSession, directory: str) -> LazyTables:
     """The TPC-H-style tables of ``directory`` as parquet scans (opened on first use)."""
     base = directory.rstrip("/")
-    return LazyTables({name: (lambda name=name: spark.read.parquet(f"{base}/{name}.parquet")) for name in TPCH_TABLES})
+    return LazyTables({name: (lambda name=name: _scan(spark, f"{base}/{name}.parquet")) for name in TPCH_TABLES})
 
 
 def raw_from_tpch(spark: SparkSession, directory: str) -> LazyTables:
