@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.aggregates import money_sum, sorted_distinct_list
 from ..functions.aggregates import exact_mean
 from ..functions.columns import fractional_days, money, when_both_present, whole_days
-from .joins import guard_unique, guarded_join
+from .joins import guarded_join
 
 
 def dim_customers(stg_customers: DataFrame) -> DataFrame:
@@ -98,7 +98,11 @@ def fct_order_items(
     )
     products = dim_products_df.select("product_id", "product_category_name_english")
     sellers = dim_sellers_df.select("seller_id", "seller_state")
-    joined = guarded_join(stg_order_items, orders, "order_id", label="items to orders")
+    # Orders are a fact, not a dimension: their key is enforced by the
+    # unique_fct_orders_order_id check (and duplicated orders would also break
+    # the item key check), both behind the quality gate. A per-join guard
+    # would add a full aggregation over every order key.
+    joined = stg_order_items.join(orders, "order_id", "left")
     joined = guarded_join(joined, products, "product_id", label="items to products")
     joined = guarded_join(joined, sellers, "seller_id", label="items to sellers")
     return joined.select(
@@ -193,11 +197,12 @@ def fct_orders(
     the delivery-distribution buckets use. The on-time flag is NULL (not
     evaluable) unless the order is delivered and both dates are known.
     """
-    # Every input of the next three joins is unique on order_id, so no key can
-    # be skewed there; the window check shares their shuffle.
-    orders = guard_unique(stg_orders, ["order_id"], "orders", strategy="window")
+    # The three right sides are unique on order_id by construction (grouped
+    # on it). The orders key itself is enforced by the quality gate
+    # (unique_fct_orders_order_id), not here, so filters on orders still
+    # reach the scan before any shuffle.
     joined = (
-        orders.join(order_item_metrics(stg_order_items), "order_id", "left")
+        stg_orders.join(order_item_metrics(stg_order_items), "order_id", "left")
         .join(order_payment_metrics(stg_order_payments), "order_id", "left")
         .join(order_review_metrics(stg_order_reviews), "order_id", "left")
     )
