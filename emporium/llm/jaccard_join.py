@@ -22,6 +22,7 @@ from emporium.llm.components import components
 
 COORDINATES = 128  # MinHash values of a set
 SPLITS = 1.25  # coordinates a bucket is split on, in the mean (1 / threshold)
+DENSE = 0.7  # a bucket with this share of its parent's sets is not split again
 _U = np.uint64
 
 
@@ -128,7 +129,7 @@ def _first_paths(runs: int):
             sig, fp = _signatures(pdf["sig"]), pdf["fp"].to_numpy()
             for r in range(runs):
                 row, path = _extend(mix(np.full(len(pdf), r + 1, dtype=np.uint64)), sig, r)
-                yield pd.DataFrame({"path": path.view(np.int64), "fp": fp[row]})
+                yield pd.DataFrame({"path": path.view(np.int64), "parent_size": 2**62, "fp": fp[row]})
 
     return run
 
@@ -138,7 +139,8 @@ def _next_paths(level: int):
         for pdf in batches:
             if len(pdf):
                 row, path = _extend(pdf["path"].to_numpy().view(np.uint64), _signatures(pdf["sig"]), 1000 + level)
-                yield pd.DataFrame({"path": path.view(np.int64), "fp": pdf["fp"].to_numpy()[row]})
+                parent = pdf["parent_size"].to_numpy()[row]
+                yield pd.DataFrame({"path": path.view(np.int64), "parent_size": parent, "fp": pdf["fp"].to_numpy()[row]})
 
     return run
 
@@ -160,24 +162,54 @@ def _roots(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
     return root
 
 
-def _brute_force(floor: int):
-    """Star edges between a bucket's sets whose sketches agree in ``floor`` places."""
+def _near_pairs(packed: np.ndarray, begin: np.ndarray, floor: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs inside each bucket (rows ``begin[k]`` to ``begin[k + 1]``) that agree in ``floor`` places."""
+    low, high = packed & 15, packed >> 4
+    sizes = np.diff(begin)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        fp = pdf["fp"].to_numpy()
-        packed = np.frombuffer(b"".join(pdf["sketch"]), dtype=np.uint8).reshape(len(pdf), -1)
-        low, high = packed & 15, packed >> 4
+    def agree(i, j):
+        return (low[i] == low[j]).sum(axis=-1, dtype=np.int16) + (high[i] == high[j]).sum(axis=-1, dtype=np.int16)
+
+    for n in np.unique(sizes[(sizes > 1) & (sizes <= 64)]):
+        x, y = np.triu_indices(n, 1)
+        first = begin[:-1][sizes == n]
+        group = max(1, 100_000 // len(x))  # pairs compared at a time
+        for k in range(0, len(first), group):
+            i = (first[k : k + group, None] + x).ravel()
+            j = (first[k : k + group, None] + y).ravel()
+            near = agree(i, j) >= floor
+            yield i[near], j[near]
+    for k in np.flatnonzero(sizes > 64):
+        for i in range(begin[k], begin[k + 1] - 1):
+            j = np.flatnonzero(agree(i, slice(i + 1, begin[k + 1])) >= floor) + i + 1
+            yield np.full(len(j), i), j
 
-        def pairs():
-            for i in range(len(fp) - 1):
-                same = (low[i + 1 :] == low[i]).sum(axis=1) + (high[i + 1 :] == high[i]).sum(axis=1)
-                j = np.flatnonzero(same >= floor) + i + 1
-                yield np.full(len(j), i), j
 
-        root = _roots(len(fp), pairs())
+def _brute_force(keys: list[str], floor: int):
+    """Star edges between a bucket's sets whose sketches agree in ``floor`` places; rows come sorted by bucket."""
+
+    def edges(pdf: pd.DataFrame) -> pd.DataFrame:
+        fp = pdf["fp"].to_numpy()
+        packed = np.frombuffer(b"".join(pdf["sketch"]), dtype=np.uint8).reshape(len(pdf), -1)
+        key = pdf[keys].to_numpy()
+        begin = np.concatenate([np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1)))), [len(pdf)]])
+        root = _roots(len(fp), _near_pairs(packed, begin, floor))
         hung = np.flatnonzero(root != np.arange(len(fp)))
         return pd.DataFrame({"a": fp[hung], "b": fp[root[hung]]})
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            tail = (held[keys] == held[keys].iloc[-1]).all(axis=1).to_numpy()  # the last bucket may go on
+            if not tail.all():
+                yield edges(held[~tail])
+                held = held[tail].reset_index(drop=True)
+        if held is not None:
+            yield edges(held)
+
     return run
 
 
@@ -204,8 +236,9 @@ def _links(threshold: float):
         row[one] = np.arange(len(one))
         col = np.full(len(sets), -1)
         col[two] = np.arange(len(two))
-        width = max(64, 8_000_000 // max(1, len(sets)))
-        for start in range(0, int(shared.sum()), width):
+        n_shared = int(shared.sum())
+        width = max(1, min(n_shared, max(64, 8_000_000 // max(1, len(sets)))))
+        for start in range(0, n_shared, width):
             a, b = np.searchsorted(column, [start, start + width])
             x = np.zeros((len(one), width), dtype=np.float32)
             y = x if left == right else np.zeros((len(two), width), dtype=np.float32)
@@ -244,7 +277,7 @@ def jaccard_join(
     threshold: float = 0.8,
     shingle: int = 5,
     target_recall: float = 0.9999,
-    bucket: int = 512,
+    bucket: int = 2048,
     max_depth: int = 8,
     block: int = 1024,
     block_shingles: int = 4_000_000,
@@ -261,9 +294,10 @@ def jaccard_join(
 
     1. Rows with equal sets are collapsed into one node (128-bit name).
     2. Every run assigns nodes to buckets along a path of shared MinHash
-       values. Buckets over ``bucket`` nodes are split again, up to
-       ``max_depth`` splits; what is still larger then (near copies in
-       thousands) is compared in blocks, so no task holds an unbounded group.
+       values. Buckets over ``bucket`` nodes are split again; one that a split
+       leaves nearly whole (near copies in thousands), or that is still larger
+       after ``max_depth`` splits, is compared in pairs of blocks, so no task
+       holds an unbounded group.
     3. A bucket links nodes whose sketches agree well below the threshold and
        yields a star of edges, never pairs. Their components are families.
     4. Each family's sets are read again from the texts and intersected
@@ -324,28 +358,26 @@ def _candidates(nodes: DataFrame, threshold: float, target_recall: float, bucket
     runs = runs_needed(threshold, target_recall, min(4, max_depth))
     pack = F.pandas_udf(lambda s: pd.Series([x.tobytes() for x in sketch(_signatures(s))]), "binary")
     sketches = nodes.select("fp", pack("sig").alias("sketch"))
-    paths = nodes.select("fp", "sig").mapInPandas(_first_paths(runs), "path long, fp binary")
+    paths = nodes.select("fp", "sig").mapInPandas(_first_paths(runs), "path long, parent_size long, fp binary")
     edges = None
     for depth in range(1, max_depth + 1):
         paths = cut(paths)
-        sizes = paths.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
-        last = depth == max_depth
-        small = paths.join(sizes if last else sizes.where(F.col("size") <= bucket), "path")
-        groups = small.join(sketches, "fp")
-        if last:  # what no split has made small: pairs of blocks
-            groups = groups.withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
-            groups = groups.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-            groups = groups.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            groups = groups.withColumn("left", F.least("own", "other")).withColumn("right", F.greatest("own", "other"))
-            keys = ["path", "left", "right"]
-        else:
-            keys = ["path"]
-        new = groups.select(*keys, "fp", "sketch").groupBy(*keys).applyInPandas(_brute_force(floor), "a binary, b binary").distinct()
+        sizes = paths.groupBy("path").agg(F.count("*").alias("size"), F.max("parent_size").alias("parent_size")).where("size > 1")
+        # A bucket that the last split left nearly whole is dense: splitting again would only copy it.
+        whole = F.lit(depth == max_depth) | (F.col("size") >= DENSE * F.col("parent_size"))
+        sizes = sizes.select("path", "size", ((F.col("size") > bucket) & ~whole).alias("again"))
+        compared = paths.select("path", "fp").join(sizes.where("not again"), "path")
+        blocks = F.when(F.col("size") <= bucket, 1).otherwise(F.ceil(F.col("size") / block)).cast("int")
+        dealt = compared.withColumn("own", F.pmod(F.xxhash64("fp"), blocks).cast("int")).withColumn(
+            "other", F.explode(F.sequence(F.lit(0), blocks - 1))
+        )
+        keys = ["path", "left", "right"]
+        groups = dealt.select("path", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "fp").join(sketches, "fp")
+        sorted_groups = groups.repartition(*keys).sortWithinPartitions(*keys)
+        new = sorted_groups.mapInPandas(_brute_force(keys, floor), "a binary, b binary").distinct()
         edges = new if edges is None else edges.unionByName(new)
-        if last:
-            break
-        large = paths.join(sizes.where(F.col("size") > bucket).select("path"), "path")
-        if large.isEmpty():
+        large = paths.select("path", "fp").join(sizes.where("again").select("path", F.col("size").alias("parent_size")), "path")
+        if depth == max_depth or large.isEmpty():
             break
-        paths = large.join(nodes.select("fp", "sig"), "fp").mapInPandas(_next_paths(depth), "path long, fp binary")
+        paths = large.join(nodes.select("fp", "sig"), "fp").mapInPandas(_next_paths(depth), "path long, parent_size long, fp binary")
     return edges
