@@ -5,11 +5,21 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporium.llm.common import shared_dir
+from emporium.llm.decontaminate import contamination
 from emporium.llm.jaccard_join import jaccard_join
+from emporium.llm.packing import pack
+from emporium.llm.pii import masked, spans_of
+from emporium.llm.quality_rules import keep
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a rule of the cascade rejects go."""
+    return keep(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,8 +33,38 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return named.join(keep, named["doc_id"] == keep["kept_id"], "left_semi").unionByName(docs.where("doc_id is null"))
 
 
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold 80 % or more of a benchmark item's five-word shingles go.
+
+    A row without a doc_id cannot be named by a match and stays.
+    """
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    hit = contamination(docs, items).select(F.col("doc_id").alias("hit_id")).distinct()
+    return docs.join(hit, docs["doc_id"] == hit["hit_id"], "left_anti")
+
+
+def personal_data_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every span of personal data in ``text`` becomes its kind in angle brackets; ``n_chars`` follows.
+
+    The spans are those of :func:`emporium.llm.pii.personal_data`; one projection, all rows stay.
+    """
+    found = docs.withColumn("text", masked(F.col("text"), spans_of(F.col("text"))))
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return found
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 4096 tokens: one row per piece of a document."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), 4096)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules),
     ("ngram_jaccard_join", near_duplicates),
+    ("benchmark_decontamination", decontaminated),
+    ("personal_data", personal_data_masked),
+    ("best_fit_packing", packed),
 ]
 
 #: Packing and MinHash search are not expressible in SQL; see tests/llm/test_pipeline.py.

@@ -159,6 +159,11 @@ def _spans(text: Column, kind: Kind) -> Column:
     return _let(matches, lambda m: F.when(F.size(m) > 0, placed(m)).otherwise(nothing))
 
 
+def spans_of(text: Column, kinds: tuple[Kind, ...] = KINDS) -> Column:
+    """All kinds' spans of a text; none for a null."""
+    return F.concat(*[_spans(F.coalesce(text, F.lit("")), k) for k in kinds])
+
+
 def personal_data(docs: DataFrame, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     """``(doc_id, text, spans)``: the personal data in every whole text of ``docs(doc_id, text)``.
 
@@ -174,8 +179,7 @@ def personal_data(docs: DataFrame, kinds: tuple[Kind, ...] = KINDS) -> DataFrame
     has no span; repeated rows and null ids are carried through; other columns
     are ignored; an empty table gives no rows.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select("doc_id", "text").select("doc_id", "text", F.concat(*[_spans(text, k) for k in kinds]).alias("spans"))
+    return docs.select("doc_id", "text", spans_of(F.col("text"), kinds).alias("spans"))
 
 
 def joined(spans: Column, kinds: tuple[str, ...] | None = None) -> Column:
@@ -187,14 +191,17 @@ def joined(spans: Column, kinds: tuple[str, ...] | None = None) -> Column:
 
 def masked(text: Column, spans: Column) -> Column:
     """``text`` with every span replaced by its kind in angle brackets; overlapping spans become one mask."""
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    done = F.aggregate(
-        ordered,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")),
-        lambda acc, s: F.when(
-            s["start"] >= acc["at"],
-            F.struct(s["end"].alias("at"), F.concat(acc["parts"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("<"), s["kind"], F.lit(">")))).alias("parts")),
-        ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["parts"].alias("parts"))),
-    )
-    built = _let(done, lambda d: F.concat(F.array_join(d["parts"], ""), F.substring(text, d["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, built).otherwise(text)
+
+    def rebuilt(found: Column) -> Column:
+        ordered = F.array_sort(F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+        done = F.aggregate(
+            ordered,
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")),
+            lambda acc, s: F.when(
+                s["start"] >= acc["at"],
+                F.struct(s["end"].alias("at"), F.concat(acc["parts"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("<"), s["kind"], F.lit(">")))).alias("parts")),
+            ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["parts"].alias("parts"))),
+        )
+        return _let(done, lambda d: F.concat(F.array_join(d["parts"], ""), F.substring(text, d["at"] + 1, F.length(text))))
+
+    return _let(spans, lambda found: F.when(F.size(found) > 0, rebuilt(found)).otherwise(text))

@@ -4,22 +4,69 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from emporium.llm.decontaminate import contamination
 from emporium.llm.jaccard_join import jaccard_join
+from emporium.llm.packing import pack
+from emporium.llm.pii import BASE, joined, personal_data
+from emporium.llm.quality_rules import assess
+from emporium.llm.url_filter import UrlRule, judge
+
+#: The rules that op9 judges by.
+URL_RULES = (
+    UrlRule("allow", "com", "/"),
+    UrlRule("block", "example.com", "/en/"),
+    UrlRule("allow", "www.example.com", "/en/"),
+    UrlRule("block", "net", "/es/"),
+    UrlRule("block", "net", "/fr/"),
+)
+TOKENIZER = "word_bpe_49k.json"
+SEQUENCE_TOKENS = 4096
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), SEQUENCE_TOKENS)
+
+
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and a digest of the base spans, and all spans, of every document."""
+    found = personal_data(_table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    counts = [F.size(F.filter(spans, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in BASE]
+    return found.select("doc_id", *counts, F.sha2(joined(spans, BASE), 256).alias("base_sha256"), joined(spans).alias("spans"))
+
+
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assess(_table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_best_fit_packing": op2_best_fit_packing,
+        "op4_personal_data": op4_personal_data,
+        "op6_benchmark_decontamination": op6_benchmark_decontamination,
+        "op7_quality_rules": op7_quality_rules,
         "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+        "op9_url_filter": op9_url_filter,
     }
 
 
