@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from emporium.llm.decontaminate import contamination
 from emporium.llm.jaccard_join import jaccard_join
+from emporium.llm.language_id import identify
 from emporium.llm.packing import pack
 from emporium.llm.pii import BASE, joined, personal_data
 from emporium.llm.quality_rules import assess
+from emporium.llm.toxicity import score
 from emporium.llm.url_filter import UrlRule, judge
 
 #: The rules that op9 judges by.
@@ -31,6 +33,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), SEQUENCE_TOKENS)
 
@@ -59,14 +65,20 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_best_fit_packing": op2_best_fit_packing,
         "op4_personal_data": op4_personal_data,
         "op6_benchmark_decontamination": op6_benchmark_decontamination,
         "op7_quality_rules": op7_quality_rules,
         "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
         "op9_url_filter": op9_url_filter,
+        "op10_language_id": op10_language_id,
     }
 
 
