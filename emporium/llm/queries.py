@@ -12,6 +12,7 @@ from emporium.llm.decontaminate import contamination
 from emporium.llm.jaccard_join import jaccard_join
 from emporium.llm.language_id import identify
 from emporium.llm.packing import pack
+from emporium.llm.passages import repeated_passages
 from emporium.llm.pii import BASE, joined, personal_data
 from emporium.llm.quality_rules import assess
 from emporium.llm.toxicity import score
@@ -41,6 +42,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), SEQUENCE_TOKENS)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and a digest of the base spans, and all spans, of every document."""
     found = personal_data(_table(spark, sf_dir, "documents"))
@@ -73,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_best_fit_packing": op2_best_fit_packing,
+        "op3_substring_dedup": op3_substring_dedup,
         "op4_personal_data": op4_personal_data,
         "op6_benchmark_decontamination": op6_benchmark_decontamination,
         "op7_quality_rules": op7_quality_rules,
