@@ -70,9 +70,9 @@ def fingerprints(s: np.ndarray, begin: np.ndarray) -> list[bytes | None]:
 
 
 def minhash(s: np.ndarray, begin: np.ndarray, n: int = COORDINATES) -> np.ndarray:
-    """``n`` 32-bit MinHash values of each non-empty set, one row for each."""
+    """``n`` MinHash values of each non-empty set, one row for each; their low 16 bits name them."""
     at = begin[:-1][np.diff(begin) > 0]
-    out = np.empty((len(at), n), dtype=np.uint32)
+    out = np.empty((len(at), n), dtype=np.uint16)
     rng = np.random.default_rng(8)
     mul = rng.integers(0, 2**63, n, dtype=np.uint64) * _U(2) + _U(1)
     add = rng.integers(0, 2**63, n, dtype=np.uint64)
@@ -101,7 +101,7 @@ def _extend(path: np.ndarray, signature: np.ndarray, seed: int) -> tuple[np.ndar
 
 
 def _signatures(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype=np.uint32).reshape(len(column), COORDINATES)
+    return np.frombuffer(b"".join(column), dtype=np.uint16).reshape(len(column), COORDINATES)
 
 
 def _embed(size: int):
