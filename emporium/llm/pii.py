@@ -19,8 +19,8 @@ _EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-
 _IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = r"[0-9](?:[\x20-]?[0-9])++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-_IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
-_SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+_IBAN = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}"
+_SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 
 SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
 
@@ -33,7 +33,8 @@ class Kind:
     """One kind of personal data.
 
     ``hint``: a character every match contains; texts without it are skipped.
-    ``valid``: name of the checksum or range test. ``score`` is raised by
+    ``valid``: name of the checksum or range test. ``alone``: characters that
+    may not touch a span. ``score`` is raised by
     ``boost`` where a context word is near and lowered by ``doubt`` where a word
     of ``against`` is; a span stays at ``keep`` or more (base kinds always).
     """
@@ -48,6 +49,7 @@ class Kind:
     keep: float = 0.0
     words: tuple[str, ...] = field(default=())
     against: tuple[str, ...] = field(default=())
+    alone: str | None = None
 
 
 BASE = ("email", "ip", "card", "phone")
@@ -57,8 +59,8 @@ KINDS = (
     Kind("card", _CARD, "", "luhn", 0.7, 0.3, 0.2, 0.0, ("card", "visa", "credit", "karte", "carte", "tarjeta", "payment"), ("isbn", "order", "serial")),
     Kind("phone", _PHONE, "+", "phone", 0.7, 0.3, 0.1, 0.0, ("phone", "call", "tel", "fax", "mobile", "whatsapp"), ("version",)),
     # Beyond the base kinds: an IBAN is proven by mod 97; a social security number needs a word nearby.
-    Kind("iban", _IBAN, "", "mod97", 0.8, 0.2, 0.2, 0.5, ("iban", "bank", "account", "konto", "compte", "cuenta"), ("serial",)),
-    Kind("ssn", _SSN, "-", "ssn", 0.3, 0.4, 0.2, 0.5, ("ssn", "social security", "sozialversicherung"), ("order", "serial", "part")),
+    Kind("iban", _IBAN, "", "mod97", 0.8, 0.2, 0.2, 0.5, ("iban", "bank", "account", "konto", "compte", "cuenta"), ("serial",), "[A-Za-z0-9]"),
+    Kind("ssn", _SSN, "-", "ssn", 0.3, 0.4, 0.2, 0.5, ("ssn", "social security", "sozialversicherung"), ("order", "serial", "part"), "[0-9-]"),
 )
 
 
@@ -105,6 +107,12 @@ def _valid(kind: str | None, value: Column) -> Column:
     return F.lit(True)
 
 
+def _alone(kind: Kind, before: Column, after: Column) -> Column:
+    if kind.alone is None:
+        return F.lit(True)
+    return ~(F.right(before, F.lit(1)).rlike(kind.alone) | F.left(after, F.lit(1)).rlike(kind.alone))
+
+
 def _score(kind: Kind, before: Column, after: Column) -> Column:
     """The kind's score, adjusted by the words around a span."""
     near = F.lower(F.concat(before, F.lit(" \n "), after))
@@ -137,7 +145,7 @@ def _spans(text: Column, kind: Kind) -> Column:
                 (F.get(e, i) - F.length(m)).alias("start"),
                 F.get(e, i).alias("end"),
                 F.when(
-                    _valid(kind.valid, m),
+                    _valid(kind.valid, m) & _alone(kind, F.get(gaps, i), F.get(gaps, i + 1)),
                     _score(kind, F.right(F.get(gaps, i), F.lit(WINDOW)), F.left(F.get(gaps, i + 1), F.lit(WINDOW))),
                 ).otherwise(-1.0).alias("score"),
             )),
@@ -182,6 +190,10 @@ def personal_data(docs: DataFrame, kinds: tuple[Kind, ...] = KINDS) -> DataFrame
     return docs.select("doc_id", "text", spans_of(F.col("text"), kinds).alias("spans"))
 
 
+def n_spans(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def joined(spans: Column, kinds: tuple[str, ...] | None = None) -> Column:
     """``kind:start:end`` of the spans (of some kinds), comma-joined."""
     if kinds is not None:

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporium.llm import oracles
+from emporium.llm.common import shared_dir
 from emporium.llm.decontaminate import contamination
+from emporium.llm.fixity import audit, read_archive, record_id, warc_record, write_archive
 from emporium.llm.jaccard_join import jaccard_join
 from emporium.llm.language_id import identify
 from emporium.llm.packing import pack
 from emporium.llm.passages import repeated_passages
-from emporium.llm.pii import BASE, joined, personal_data
+from emporium.llm.pii import BASE, joined, n_spans, personal_data
 from emporium.llm.quality_rules import assess
 from emporium.llm.toxicity import score
 from emporium.llm.url_filter import UrlRule, judge
@@ -50,10 +54,26 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and a digest of the base spans, and all spans, of every document."""
     found = personal_data(_table(spark, sf_dir, "documents"))
     spans = F.col("spans")
-    counts = [F.size(F.filter(spans, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in BASE]
+    counts = [n_spans(spans, kind).alias(f"n_{kind}") for kind in BASE]
     return found.select("doc_id", *counts, F.sha2(joined(spans, BASE), 256).alias("base_sha256"), joined(spans).alias("spans"))
 
 
+def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write ``pages`` as a WARC archive and as a second copy with damage, and locate the damage.
+
+    In the copy, pages whose url's MD5 begins with 00 or 0a have their html's
+    first character replaced, and those where it begins with 01f are left out.
+    """
+    pages = _table(spark, sf_dir, "pages")
+    name, sum_ = record_id(F.col("page_id"), F.col("url")), F.md5("url")
+    damaged = F.when(sum_.rlike("^0[0a]"), F.concat(F.lit("~"), F.substring("html", 2, 2**31 - 1))).otherwise(F.col("html"))
+    folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    write_archive(pages.select(warc_record(name, F.col("url"), F.col("html")).alias("record")), f"{folder}/first")
+    copy = pages.where(~F.coalesce(F.startswith(sum_, F.lit("01f")), F.lit(False)))
+    write_archive(copy.select(warc_record(name, F.col("url"), damaged).alias("record")), f"{folder}/second")
+    return audit(read_archive(spark, f"{folder}/first"), read_archive(spark, f"{folder}/second"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -80,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_substring_dedup": op3_substring_dedup,
         "op4_personal_data": op4_personal_data,
+        "op5_warc_fixity": op5_warc_fixity,
         "op6_benchmark_decontamination": op6_benchmark_decontamination,
         "op7_quality_rules": op7_quality_rules,
         "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
@@ -89,4 +110,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.statements(URL_RULES)
