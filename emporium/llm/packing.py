@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import itertools
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -21,61 +22,112 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, salt
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
-class Encoder:
-    """Ids of whole texts; blank-delimited chunks are encoded once and kept.
-
-    The tokenizer never joins characters across a blank or line feed, so a
-    text's ids are its chunks' ids in a row. At most ``keep`` chunks are kept.
-    """
-
-    def __init__(self, path: str, keep: int = 1_000_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+class _Store:
+    """Strings and the ids each stands for, in one growing array."""
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.keep = keep
-        self._clear()
+    #: The strings that came first are mostly the frequent ones; a small table of them stays in the processor's cache.
+    OFTEN = 30_000
 
-    def _clear(self) -> None:
-        self.row: dict = {"": 0, None: 1}  # None stands for the end of a text
+    def __init__(self):
+        self.row: dict = {}
+        self.often: dict = {}
         self.start, self.length = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64)
-        self.ids, self.used = np.zeros(1 << 14, dtype=np.uint32), 1
-        self.ids[0], self.length[1] = END_ID, 1
+        self.ids, self.used = np.zeros(1 << 14, dtype=np.uint32), 0
 
     @staticmethod
     def _room(a: np.ndarray, n: int) -> np.ndarray:
         return a if n <= len(a) else np.concatenate([a, np.zeros(max(n, 2 * len(a)) - len(a), dtype=a.dtype)])
 
-    def _add(self, chunks: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
-        flat = np.fromiter(itertools.chain.from_iterable(got), dtype=np.uint32, count=int(sizes.sum()))
-        n, m = len(self.row), len(chunks)
+    def add(self, names: list, flat: np.ndarray, sizes: np.ndarray) -> None:
+        n, m = len(self.row), len(names)
         self.start, self.length = self._room(self.start, n + m), self._room(self.length, n + m)
         self.ids = self._room(self.ids, self.used + len(flat))
         self.start[n : n + m] = self.used + np.cumsum(sizes) - sizes
         self.length[n : n + m] = sizes
         self.ids[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
-        self.row.update(zip(chunks, range(n, n + m)))
+        self.row.update(zip(names, range(n, n + m)))
+        self.often.update(zip(names[: max(0, self.OFTEN - n)], range(n, n + m)))
+
+    def flat(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rows in a row, and where each one's end."""
+        length = self.length[rows]
+        end = np.cumsum(length)
+        return self.ids[np.repeat(self.start[rows] - end + length, length) + np.arange(end[-1] if len(end) else 0)], end
+
+
+class Encoder:
+    """Ids of whole texts; blank-delimited chunks are encoded once and kept.
+
+    The tokenizer never joins characters across a blank or line feed, so a
+    text's ids are its chunks' ids in a row. A chunk of plain letters and
+    punctuation is put together from the two, which it encodes apart and in
+    lower case; any other chunk is encoded as it is. The bounds on what is kept
+    limit memory only: what is dropped is encoded again.
+    """
+
+    #: Letters that are one code point in any normal form and lower-case to one, then ASCII marks but the apostrophe.
+    LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+    SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+    def __init__(self, path: str, keep: int = 600_000, keep_parts: int = 1_000_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.keep, self.keep_parts = keep, keep_parts
+        self.chunks, self.parts = self._empty(), self._empty()
+
+    @staticmethod
+    def _empty() -> _Store:
+        store = _Store()  # None stands for the end of a text
+        store.add(["", None], np.array([END_ID], dtype=np.uint32), np.array([0, 1]))
+        return store
+
+    def _part_rows(self, names: list[str]) -> np.ndarray:
+        new = [n for n in dict.fromkeys(names) if n not in self.parts.row]
+        plain = [n for n in new if self.LETTERS.fullmatch(n)]
+        if plain:  # one word each: all in one text, told apart by the ids that end a word
+            flat = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            end = np.flatnonzero(self.ends_word[flat]) + 1
+            self.parts.add(plain, flat, np.diff(end, prepend=0))
+        other = [n for n in new if n not in self.parts.row]
+        if other:
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
+            self.parts.add(other, np.fromiter(itertools.chain.from_iterable(got), dtype=np.uint32, count=int(sizes.sum())), sizes)
+        return np.fromiter(map(self.parts.row.__getitem__, names), dtype=np.int64, count=len(names))
+
+    def _add(self, chunks: list[str]) -> None:
+        names = []
+        for chunk in chunks:
+            simple = self.SIMPLE.fullmatch(chunk) if "<|" not in chunk else None
+            names += (simple[1].lower(), simple[2]) if simple else (chunk, "")
+        flat, end = self.parts.flat(self._part_rows(names))
+        self.chunks.add(chunks, flat, np.diff(end[1::2], prepend=0))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, each text's followed by the end id, and where each text begins."""
-        if len(self.row) > self.keep:
-            self._clear()
+        if len(self.parts.row) > self.keep_parts:
+            self.parts = self._empty()
+        if len(self.chunks.row) > self.keep:
+            self.chunks = self._empty()
         parts = []
         for t in texts:
             parts.append(t.replace("\n", " ").split(" "))
             parts[-1].append(None)
         chunks = list(itertools.chain.from_iterable(parts))
-        rows = np.fromiter(map(self.row.get, chunks, itertools.repeat(-1)), dtype=np.int64, count=len(chunks))
+        rows = np.fromiter(map(self.chunks.often.get, chunks, itertools.repeat(-1)), dtype=np.int64, count=len(chunks))
+        seldom = np.flatnonzero(rows < 0)
+        rows[seldom] = np.fromiter(map(self.chunks.row.get, map(chunks.__getitem__, seldom.tolist()), itertools.repeat(-1)), dtype=np.int64, count=len(seldom))
         missing = np.flatnonzero(rows < 0)
         if len(missing):
             self._add(list(dict.fromkeys(chunks[i] for i in missing)))
-            rows[missing] = [self.row[chunks[i]] for i in missing]
-        length = self.length[rows]
-        end = np.cumsum(length)
-        flat = self.ids[np.repeat(self.start[rows] - end + length, length) + np.arange(end[-1] if len(end) else 0)]
+            rows[missing] = [self.chunks.row[chunks[i]] for i in missing]
+        flat, end = self.chunks.flat(rows)
         last = np.cumsum([len(p) for p in parts]) - 1
         return flat, np.concatenate([[0], end[last]]) if len(parts) else np.zeros(1, dtype=np.int64)
 
