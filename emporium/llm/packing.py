@@ -67,7 +67,6 @@ class Encoder:
     """
 
     #: Letters that are one code point in any normal form and lower-case to one, then ASCII marks but the apostrophe.
-    LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
     SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
     def __init__(self, path: str, keep: int = 600_000, keep_parts: int = 1_000_000):
@@ -87,26 +86,36 @@ class Encoder:
         store.add(["", None], np.array([END_ID], dtype=np.uint32), np.array([0, 1]))
         return store
 
-    def _part_rows(self, names: list[str]) -> np.ndarray:
-        new = [n for n in dict.fromkeys(names) if n not in self.parts.row]
-        plain = [n for n in new if self.LETTERS.fullmatch(n)]
+    def _learn(self, words: set[str], others: set[str]) -> None:
+        """Encode parts that are not known yet; ``words`` are letters alone."""
+        plain = list(words.difference(self.parts.row))
         if plain:  # one word each: all in one text, told apart by the ids that end a word
             flat = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, dtype=np.uint32)
             end = np.flatnonzero(self.ends_word[flat]) + 1
             self.parts.add(plain, flat, np.diff(end, prepend=0))
-        other = [n for n in new if n not in self.parts.row]
+        other = list(others.difference(self.parts.row))
         if other:
             got = [e.ids for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]
             sizes = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
             self.parts.add(other, np.fromiter(itertools.chain.from_iterable(got), dtype=np.uint32, count=int(sizes.sum())), sizes)
-        return np.fromiter(map(self.parts.row.__getitem__, names), dtype=np.int64, count=len(names))
 
     def _add(self, chunks: list[str]) -> None:
-        names = []
+        simple, first, second, whole = self.SIMPLE.fullmatch, [], [], set()
         for chunk in chunks:
-            simple = self.SIMPLE.fullmatch(chunk) if "<|" not in chunk else None
-            names += (simple[1].lower(), simple[2]) if simple else (chunk, "")
-        flat, end = self.parts.flat(self._part_rows(names))
+            found = simple(chunk)
+            if found is None or "<|" in chunk:
+                first.append(chunk)
+                second.append("")
+                whole.add(chunk)
+            else:
+                word, marks = found.groups()
+                first.append(word.lower())
+                second.append(marks)
+        self._learn(set(first) - whole, whole.union(second))
+        rows = np.empty(2 * len(chunks), dtype=np.int64)
+        rows[0::2] = np.fromiter(map(self.parts.row.__getitem__, first), dtype=np.int64, count=len(first))
+        rows[1::2] = np.fromiter(map(self.parts.row.__getitem__, second), dtype=np.int64, count=len(second))
+        flat, end = self.parts.flat(rows)
         self.chunks.add(chunks, flat, np.diff(end[1::2], prepend=0))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
