@@ -129,7 +129,7 @@ def _first_paths(runs: int):
             sig, fp = _signatures(pdf["sig"]), pdf["fp"].to_numpy()
             for r in range(runs):
                 row, path = _extend(mix(np.full(len(pdf), r + 1, dtype=np.uint64)), sig, r)
-                yield pd.DataFrame({"path": path.view(np.int64), "parent_size": 2**62, "fp": fp[row]})
+                yield pd.DataFrame({"path": path.view(np.int64), "fp": fp[row]})
 
     return run
 
@@ -358,25 +358,28 @@ def _candidates(nodes: DataFrame, threshold: float, target_recall: float, bucket
     runs = runs_needed(threshold, target_recall, min(4, max_depth))
     pack = F.pandas_udf(lambda s: pd.Series([x.tobytes() for x in sketch(_signatures(s))]), "binary")
     sketches = nodes.select("fp", pack("sig").alias("sketch"))
-    paths = nodes.select("fp", "sig").mapInPandas(_first_paths(runs), "path long, parent_size long, fp binary")
+    paths = nodes.select("fp", "sig").mapInPandas(_first_paths(runs), "path long, fp binary")
+    paths = paths.withColumn("parent_size", F.lit(2**62))
     edges = None
     for depth in range(1, max_depth + 1):
-        paths = cut(paths)
-        sizes = paths.groupBy("path").agg(F.count("*").alias("size"), F.max("parent_size").alias("parent_size")).where("size > 1")
+        # Counted and joined over one shuffle. A run's buckets are its own, so no
+        # bucket has more than a run's share of the rows.
+        dealt = paths.repartition("path")
+        sizes = dealt.groupBy("path").agg(F.count("*").alias("size"), F.max("parent_size").alias("parent_size")).where("size > 1")
         # A bucket that the last split left nearly whole is dense: splitting again would only copy it.
         whole = F.lit(depth == max_depth) | (F.col("size") >= DENSE * F.col("parent_size"))
         sizes = sizes.select("path", "size", ((F.col("size") > bucket) & ~whole).alias("again"))
-        compared = paths.select("path", "fp").join(sizes.where("not again"), "path")
+        met = cut(dealt.select("path", "fp").join(sizes, "path"))
         blocks = F.when(F.col("size") <= bucket, 1).otherwise(F.ceil(F.col("size") / block)).cast("int")
-        dealt = compared.withColumn("own", F.pmod(F.xxhash64("fp"), blocks).cast("int")).withColumn(
+        sided = met.where("not again").withColumn("own", F.pmod(F.xxhash64("fp"), blocks).cast("int")).withColumn(
             "other", F.explode(F.sequence(F.lit(0), blocks - 1))
         )
         keys = ["path", "left", "right"]
-        groups = dealt.select("path", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "fp").join(sketches, "fp")
+        groups = sided.select("path", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "fp").join(sketches, "fp")
         sorted_groups = groups.repartition(*keys).sortWithinPartitions(*keys)
         new = sorted_groups.mapInPandas(_brute_force(keys, floor), "a binary, b binary").distinct()
         edges = new if edges is None else edges.unionByName(new)
-        large = paths.select("path", "fp").join(sizes.where("again").select("path", F.col("size").alias("parent_size")), "path")
+        large = met.where("again").select("path", F.col("size").alias("parent_size"), "fp")
         if depth == max_depth or large.isEmpty():
             break
         paths = large.join(nodes.select("fp", "sig"), "fp").mapInPandas(_next_paths(depth), "path long, parent_size long, fp binary")
