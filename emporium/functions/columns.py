@@ -9,34 +9,24 @@ from pyspark.sql import types as T
 MICROS_PER_DAY = 86_400_000_000
 
 
-def staged(source: T.DataType, name: str, dtype: str) -> Column:
-    """Cast raw column ``name`` (of type ``source``) to the staged type ``dtype``.
+def staged_sql(source: T.DataType, name: str, dtype: str) -> str:
+    """SQL text that casts raw column ``name`` (of type ``source``) to the staged type ``dtype``.
 
     Raw text (the CSV path) is parsed with the ``try_`` family, so malformed
-    values become NULL instead of failing the job under ANSI mode. Already
-    typed input (the parquet path) is cast directly; a timestamp without
-    time zone becomes a session-zone timestamp with the same wall clock.
+    values become NULL instead of failing the job under ANSI mode. A whole
+    number may be written with a fraction of zeros (``5.0``); any other fraction
+    is malformed. Already typed input (the parquet path) is cast directly; a
+    timestamp without time zone becomes a session-zone timestamp with the same
+    wall clock.
     """
-    col = F.col(name)
-    if isinstance(source, T.StringType):
-        if dtype == "timestamp":
-            return F.try_to_timestamp(col)
-        if dtype == "string":
-            return col
-        return col.try_cast(dtype)
-    if source.simpleString() == dtype:
-        return col
-    return col.try_cast(dtype)
-
-
-def staged_sql(source: T.DataType, name: str, dtype: str) -> str:
-    """SQL text of :func:`staged` (for projections built in one call)."""
     col = f"`{name}`"
     if isinstance(source, T.StringType):
         if dtype == "timestamp":
             return f"try_to_timestamp({col})"
         if dtype == "string":
             return col
+        if dtype == "int":
+            return f"try_cast(regexp_replace(trim({col}), '\\\\.0*$', '') AS int)"
         return f"try_cast({col} AS {dtype})"
     if source.simpleString() == dtype:
         return col
@@ -50,7 +40,7 @@ def column_types(df: DataFrame) -> dict[str, T.DataType]:
 
 def malformed(source: T.DataType, name: str, dtype: str) -> Column:
     """True where raw ``name`` holds a value that does not parse as ``dtype``."""
-    return F.col(name).isNotNull() & staged(source, name, dtype).isNull()
+    return F.col(name).isNotNull() & F.expr(staged_sql(source, name, dtype)).isNull()
 
 
 def whole_days(end: Column | str, start: Column | str) -> Column:

@@ -1,56 +1,52 @@
-"""Join operators: cardinality-guarded join and orphan (anti-join) counting."""
+"""Join operators: cardinality-checked joins and orphan (anti-join) counting."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _CARDINALITIES = {"many_to_one", "one_to_one", "one_to_many", "many_to_many"}
 
 
-def guard_unique(df: DataFrame, keys: Sequence[str], label: str, strategy: str = "marker") -> DataFrame:
-    """``df`` unchanged, but the query fails if ``keys`` repeat in it.
+def _raise_above_one(count: str, message: str) -> Column:
+    """A filter condition that keeps every row and fails where ``count`` is over one.
+
+    It sits in a filter, so column pruning cannot remove it.
+    """
+    return F.when(F.col(count) > 1, F.raise_error(F.lit(message))).isNull()
+
+
+def unique_by(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+    """``df``'s rows with a complete key, one for each key; the query fails if a key repeats.
+
+    The key is unique because the rows are grouped by it, which the optimizer
+    can see: a left join to the result is dropped altogether when none of its
+    columns is used. Rows with a NULL key are left out, as they match nothing.
+    The grouping shuffles on the key, and a sort-merge join on the key reuses
+    that shuffle. Filters on other columns stay above it.
+    """
+    keys = list(keys)
+    values = [c for c in df.columns if c not in keys]
+    complete = df.dropna(subset=keys)
+    grouped = complete.groupBy(*keys).agg(*[F.first(c).alias(c) for c in values], F.count(F.lit(1)).alias("_key_rows"))
+    message = f"duplicate key ({', '.join(keys)}) in {label}"
+    return grouped.where(_raise_above_one("_key_rows", message)).select(*df.columns)
 
-    ``marker`` (default): a separate aggregate over the keys yields at most
-    one row when a key repeats; that row is broadcast onto ``df`` and raises.
-    ``df`` itself is not repartitioned, so a following join keeps its plain
-    shuffle and AQE can still split a skewed key on the other side, or
-    broadcast ``df`` when it is small.
 
-    ``window``: a count over a window on the key. It rides on the hash
-    partitioning a join on the same key needs anyway (no extra job), but the
-    window sits between that shuffle and the join, which stops AQE from
-    splitting skewed partitions. Use it only when the other side of the join
-    is unique on the key too (no skew is possible), e.g. joins between
-    per-order aggregates.
+def require_unique(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+    """``df`` unchanged, rows with a NULL key included; the query fails if a key repeats.
 
-    The failing condition sits in a filter, so the optimizer cannot prune it.
+    For the left side of joins on the same key: the keys alone are counted and
+    joined back, partitioned as those joins need it, so only the key column is
+    read and shuffled once more.
     """
     keys = list(keys)
-    message = F.lit(f"duplicate key ({', '.join(keys)}) in {label}")
-    if strategy == "window":
-        n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-        return (
-            df.withColumn("_key_rows", n)
-            .where(F.when(F.col("_key_rows") > 1, F.raise_error(message)).isNull())
-            .drop("_key_rows")
-        )
-    if strategy != "marker":
-        raise ValueError("strategy must be 'marker' or 'window'")
-    duplicated = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > 1)
-        .limit(1)
-        .select(F.lit(True).alias("_duplicated"))
-    )  # at most one row
-    return (
-        df.join(F.broadcast(duplicated), how="left")
-        .where(F.when(F.col("_duplicated"), F.raise_error(message)).isNull())
-        .drop("_duplicated")
-    )
+    counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_key_rows"))
+    message = f"duplicate key ({', '.join(keys)}) in {label}"
+    counted = df.join(counts, keys, "left")
+    return counted.where(_raise_above_one("_key_rows", message)).select(*df.columns)
 
 
 def guarded_join(
@@ -69,11 +65,13 @@ def guarded_join(
     """
     if validate not in _CARDINALITIES:
         raise ValueError(f"validate must be one of {sorted(_CARDINALITIES)}")
+    if how not in ("left", "inner"):
+        raise ValueError("a guarded join is a left or an inner join")
     keys = [on] if isinstance(on, str) else list(on)
     if validate in ("one_to_one", "one_to_many"):
-        left = guard_unique(left, keys, f"left side of {label}")
+        left = require_unique(left, keys, f"left side of {label}")
     if validate in ("one_to_one", "many_to_one"):
-        right = guard_unique(right, keys, f"right side of {label}")
+        right = unique_by(right, keys, f"right side of {label}")
     return left.join(right, keys, how)
 
 
@@ -82,7 +80,7 @@ def orphan_count(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
     Child keys are counted first (combined map-side, so a key repeated in a
     third of the child rows costs one row per map task), then anti-joined to
-    the distinct parent keys; only the key counts cross the shuffle.
+    the parent keys; only the key counts cross the shuffle.
     """
     keyed = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     parents = parent.select(key).where(F.col(key).isNotNull())

@@ -2,11 +2,12 @@
 
 Plan shape, with scale in mind:
 
-* Dimension joins are left to Spark's size checks: a side below the
-  broadcast threshold (estimated at planning, measured again by AQE at run
-  time) is broadcast, anything larger is shuffled. No unconditional
-  broadcast hint is used because products, sellers and customers grow with
-  the data.
+* Dimensions are joined as grouped, unique rows (``joins.unique_by``): a
+  repeated key fails the query, and a join whose columns are not used is
+  dropped by the optimizer. Whether a side is broadcast is left to Spark's
+  size checks; products, sellers and customers grow with the data.
+* A repeated order fails every query over the facts. The price is a shuffle of
+  the order keys, and that filters on order columns stay above it.
 * ``fct_orders`` pre-aggregates items, payments and reviews to one row per
   order before joining, so no order measure fans out. The four inputs are all
   hash-partitioned on ``order_id`` and join without further shuffles; the
@@ -20,10 +21,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.aggregates import money_sum, sorted_distinct_list
-from ..functions.aggregates import exact_mean
+from ..functions.aggregates import money_sum, rounded_mean, sorted_distinct_list
 from ..functions.columns import fractional_days, money, when_both_present, whole_days
-from .joins import guarded_join
+from .joins import guarded_join, require_unique
 
 
 def dim_customers(stg_customers: DataFrame) -> DataFrame:
@@ -68,26 +68,46 @@ def dim_products(stg_products: DataFrame, stg_category_translation: DataFrame) -
 def dim_geography(stg_geolocation: DataFrame) -> DataFrame:
     """One row per zip prefix (a NULL prefix is kept as its own group).
 
-    Coordinates are averaged with :func:`exact_mean` (8 decimals, about a
-    millimetre) so the result does not depend on the order partial sums are
-    combined in; the representative city/state is the smallest value, which
-    is deterministic on a cluster.
+    Coordinates are plain means rounded to 8 decimals (about a millimetre);
+    the representative city/state is the smallest value, which is
+    deterministic on a cluster.
     """
     return stg_geolocation.groupBy("geolocation_zip_code_prefix").agg(
-        exact_mean("geolocation_lat", 8).alias("latitude"),
-        exact_mean("geolocation_lng", 8).alias("longitude"),
+        rounded_mean("geolocation_lat", 8).alias("latitude"),
+        rounded_mean("geolocation_lng", 8).alias("longitude"),
         F.min("geolocation_city").alias("representative_city"),
         F.min("geolocation_state").alias("representative_state"),
         F.count(F.lit(1)).alias("source_observation_count"),
     )
 
 
+# The published columns of the item fact, in order.
+FCT_ORDER_ITEMS_COLUMNS = (
+    "order_id",
+    "order_item_id",
+    "product_id",
+    "seller_id",
+    "customer_id",
+    "order_status",
+    "order_purchase_timestamp",
+    "purchase_date",
+    "purchase_month",
+    "product_category_name_english",
+    "seller_state",
+    "item_price",
+    "freight_value",
+    "item_total_value",
+    "shipping_limit_date",
+)
+
+
 def fct_order_items(
     stg_order_items: DataFrame,
     stg_orders: DataFrame,
     dim_products_df: DataFrame,
     dim_sellers_df: DataFrame,
 ) -> DataFrame:
+    """One row per item row; the item number is left out where the input has none."""
     orders = stg_orders.select(
         "order_id",
         "customer_id",
@@ -98,30 +118,12 @@ def fct_order_items(
     )
     products = dim_products_df.select("product_id", "product_category_name_english")
     sellers = dim_sellers_df.select("seller_id", "seller_state")
-    # Orders are a fact, not a dimension: their key is enforced by the
-    # unique_fct_orders_order_id check (and duplicated orders would also break
-    # the item key check), both behind the quality gate. A per-join guard
-    # would add a full aggregation over every order key.
-    joined = stg_order_items.join(orders, "order_id", "left")
+    joined = guarded_join(stg_order_items, orders, "order_id", label="items to orders")
     joined = guarded_join(joined, products, "product_id", label="items to products")
     joined = guarded_join(joined, sellers, "seller_id", label="items to sellers")
-    return joined.select(
-        "order_id",
-        "order_item_id",
-        "product_id",
-        "seller_id",
-        "customer_id",
-        "order_status",
-        "order_purchase_timestamp",
-        "purchase_date",
-        "purchase_month",
-        "product_category_name_english",
-        "seller_state",
-        "item_price",
-        "freight_value",
-        money(F.col("item_price") + F.col("freight_value")).alias("item_total_value"),
-        "shipping_limit_date",
-    )
+    enriched = joined.withColumn("item_total_value", money(F.col("item_price") + F.col("freight_value")))
+    present = set(stg_order_items.columns)
+    return enriched.select(*[c for c in FCT_ORDER_ITEMS_COLUMNS if c != "order_item_id" or c in present])
 
 
 def order_item_metrics(stg_order_items: DataFrame) -> DataFrame:
@@ -151,6 +153,7 @@ def order_review_metrics(stg_order_reviews: DataFrame) -> DataFrame:
     )
 
 
+# The published columns of the order fact, in order.
 FCT_ORDERS_COLUMNS = (
     "order_id",
     "customer_id",
@@ -198,11 +201,9 @@ def fct_orders(
     evaluable) unless the order is delivered and both dates are known.
     """
     # The three right sides are unique on order_id by construction (grouped
-    # on it). The orders key itself is enforced by the quality gate
-    # (unique_fct_orders_order_id), not here, so filters on orders still
-    # reach the scan before any shuffle.
+    # on it); the orders are checked here, so every join is one to one.
     joined = (
-        stg_orders.join(order_item_metrics(stg_order_items), "order_id", "left")
+        require_unique(stg_orders, ["order_id"], "orders").join(order_item_metrics(stg_order_items), "order_id", "left")
         .join(order_payment_metrics(stg_order_payments), "order_id", "left")
         .join(order_review_metrics(stg_order_reviews), "order_id", "left")
     )

@@ -1,25 +1,11 @@
 """Row number within a group that stays parallel when one group is huge.
 
 ``row_number() over (partition by k order by o)`` sends every row of a key to
-one task. That is fine while groups are bounded, but a key holding a large
-share of the table would then be sorted by a single task. This operator
-splits the work:
-
-* hot keys are found on a seeded sample (one scan of the key column and a
-  tiny aggregate, not a full group-by): a key with ``hot_threshold`` rows
-  shows up about ``sample_rows`` times, and a key is taken as hot from half
-  that. The hot set is bounded by ``2 * rows / hot_threshold`` keys, which
-  bounds what is broadcast. A wrong call only changes the strategy, never the
-  numbers: both paths number every key completely;
-* keys below the threshold take the plain window (one shuffle on the key);
-* hot keys are range-partitioned on the full sort order, so one key spreads
-  over many partitions. Each row's global position is its position inside
-  its partition plus the sizes of the partitions before it (one small row per
-  partition), and the row number is its position minus the position of the
-  key's first row (one small row per hot key).
-
-When no key is hot, the result is exactly the plain window, so Catalyst can
-still prune it away when the number is not used downstream.
+one task. Here the rows are range-partitioned on the full sort order instead,
+so a key with a large share of the table spreads over many partitions. A row's
+global position is its position inside its partition plus the sizes of the
+partitions before it, and its number is that position minus the position of
+its key's first row. NULL is a key like any other.
 """
 
 from __future__ import annotations
@@ -32,79 +18,34 @@ from pyspark.sql import functions as F
 _PARTITION_BITS = 33  # monotonically_increasing_id keeps the partition index above bit 33
 
 
-#: (plan hash, threshold) -> whether hot keys exist; the answer only picks a
-#: strategy (both give identical numbers), so reusing it is always safe.
-_HOT_DECISIONS: dict[tuple[int, int], bool] = {}
-
-
-def hot_keys(df: DataFrame, key: str, hot_threshold: int, sample_rows: int = 2000) -> DataFrame:
-    """Keys that probably hold more than ``hot_threshold`` rows (from a sample)."""
-    fraction = min(1.0, sample_rows / hot_threshold)
-    cut = max(1, int(hot_threshold * fraction / 2))
-    return (
-        df.select(key)
-        .sample(fraction=fraction, seed=7)
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_sampled"))
-        .where(F.col("_sampled") >= cut)
-        .select(key)
-    )
-
-
-def number_within(
-    df: DataFrame,
-    key: str,
-    order: Sequence[str],
-    out: str,
-    hot_threshold: int = 5_000_000,
-    hot_partitions: int | None = None,
-) -> DataFrame:
-    """Add ``out`` = 1-based position of each row within ``key`` ordered by ``order``."""
-    order = list(order)
-    hot = hot_keys(df, key, hot_threshold)
-    memo = (df.semanticHash(), hot_threshold)
-    if memo not in _HOT_DECISIONS:
-        # Only a count reaches the driver (one small job), never keys or rows.
-        _HOT_DECISIONS[memo] = hot.agg(F.count(F.lit(1)).alias("n")).first()["n"] > 0
-    if not _HOT_DECISIONS[memo]:
-        return _window_number(df, key, order, out)
-
-    spark = df.sparkSession
-    cold = df.join(F.broadcast(hot), key, "left_anti")
-    hot_rows = df.join(F.broadcast(hot), key, "left_semi")
-    numbered_cold = _window_number(cold, key, order, out)
-    n = hot_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered_hot = _range_number(hot_rows, key, order, out, n)
-    return numbered_cold.unionByName(numbered_hot)
-
-
-def _window_number(df: DataFrame, key: str, order: list[str], out: str) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    return df.withColumn(out, F.row_number().over(w).cast("int"))
-
+def number_within(df: DataFrame, key: str, order: Sequence[str], out: str, partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = 1-based position of each row within ``key`` ordered by ``order``.
 
-def _range_number(df: DataFrame, key: str, order: list[str], out: str, partitions: int) -> DataFrame:
-    # Sort on every column so the order inside a partition is fully
-    # determined: a retried task sees the same positions.
+    Rows that tie in ``order`` are numbered by their other columns. ``df`` is
+    shuffled into ``partitions`` ranges (default: the session's shuffle
+    partitions) and its key column joined back; no job runs before the query.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rest = [c for c in df.columns if c != key and c not in order]
+    # Sorted on every column, so the order inside a partition is fully
+    # determined and a retried task sees the same positions.
     sort_cols: list[Column] = [F.col(c).asc_nulls_first() for c in [key, *order, *rest]]
     ranged = (
-        df.repartitionByRange(partitions, *sort_cols)
+        df.repartitionByRange(n, *sort_cols)
         .sortWithinPartitions(*sort_cols)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftright(F.col("_mid"), _PARTITION_BITS))
         .withColumn("_lix", F.col("_mid") - F.shiftleft(F.col("_pid"), _PARTITION_BITS))
     )
-    # One row per partition: the offset of a partition is the number of rows
-    # in the partitions before it.
+    # The rows in the partitions before each one: a row for each of the n partitions.
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     positioned = ranged.join(F.broadcast(offsets), "_pid").withColumn("_g", F.col("_off") + F.col("_lix"))
-    # One row per hot key: the global position of its first row.
-    firsts = positioned.groupBy(key).agg(F.min("_g").alias("_g0"))
+    # The global position of each key's first row.
+    firsts = positioned.groupBy(F.col(key).alias("_key")).agg(F.min("_g").alias("_g0"))
     return (
-        positioned.join(F.broadcast(firsts), key)
+        positioned.join(firsts, F.col(key).eqNullSafe(F.col("_key")))
         .withColumn(out, (F.col("_g") - F.col("_g0") + 1).cast("int"))
-        .drop("_mid", "_pid", "_lix", "_off", "_g", "_g0")
+        .drop("_mid", "_pid", "_lix", "_off", "_g", "_g0", "_key")
     )

@@ -10,20 +10,17 @@ Numeric conventions of the published outputs:
 * money totals are decimals rounded to cents (``decimal(38,2)``: exact, and
   wide enough for any realistic total);
 * rates and averages are doubles rounded the way Spark's ``round`` rounds;
-* the average of per-order review averages is order-independent
-  (:func:`exact_mean`), so reruns give identical digits.
+* averages are plain means; only the published result is rounded.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.aggregates import exact_mean
-from ..functions.columns import month_label, safe_ratio
-
-MONEY_TOTAL = T.DecimalType(38, 2)
+from ..functions.aggregates import rounded_mean
+from ..functions.columns import date_label, month_label, month_start, safe_ratio
+from .semantic import MONEY_TOTAL
 
 # Delivery buckets, checked in this order (first match wins).
 DELIVERY_BUCKETS = (
@@ -40,7 +37,8 @@ def money_total(c: str) -> Column:
 
 
 def review_mean(c: str = "average_review_score") -> Column:
-    return exact_mean(c, 9)
+    """Mean to two decimals; rounding to nine first keeps exact halves from falling either way."""
+    return F.round(rounded_mean(c, 9), 2)
 
 
 def delivery_bucket(delay: Column) -> Column:
@@ -61,7 +59,7 @@ def kpis(model) -> DataFrame:
         money_total("freight_revenue").alias("freight_revenue"),
         orders.alias("orders"),
         F.count_distinct("customer_unique_id").alias("customers"),
-        F.round(review_mean(), 2).alias("average_review_score"),
+        review_mean().alias("average_review_score"),
         F.round(F.avg("on_time_delivery_flag"), 4).alias("on_time_delivery_rate"),
         F.round(safe_ratio(revenue, orders), 2).cast(MONEY_TOTAL).alias("average_order_value"),
     )
@@ -70,7 +68,7 @@ def kpis(model) -> DataFrame:
 # Q-02
 def monthly_sales(model) -> DataFrame:
     """Item-grain revenue and orders per purchase month (itemless orders are absent)."""
-    spm = model.semantic_product_metrics
+    spm = model.semantic_product_values
     return (
         spm.groupBy("purchase_month")
         .agg(money_total("item_price").alias("merchandise_revenue"), F.count_distinct("order_id").alias("orders"))
@@ -86,7 +84,7 @@ def top_categories(model, limit: int = 10, display_ascending: bool = False) -> D
     ``display_ascending`` re-sorts the selected rows smallest first (for a
     horizontal bar chart); the selection itself is unchanged.
     """
-    spm = model.semantic_product_metrics
+    spm = model.semantic_product_values
     top = (
         spm.groupBy(F.col("product_category_name_english").alias("category"))
         .agg(money_total("item_price").alias("merchandise_revenue"), F.count_distinct("order_id").alias("orders"))
@@ -107,7 +105,7 @@ def state_performance(model) -> DataFrame:
             money_total("merchandise_revenue").alias("merchandise_revenue"),
             F.count_distinct("order_id").alias("orders"),
             F.round(F.avg("on_time_delivery_flag"), 4).alias("on_time_delivery_rate"),
-            F.round(review_mean(), 2).alias("average_review_score"),
+            review_mean().alias("average_review_score"),
         )
         .orderBy(F.col("merchandise_revenue").desc_nulls_last(), F.col("state").asc_nulls_last())
     )
@@ -167,7 +165,7 @@ def category_matrix(model) -> DataFrame:
     are joined to that, so an order with several items of a category counts
     once and no order measure is duplicated.
     """
-    per_order = model.semantic_product_metrics.groupBy(
+    per_order = model.semantic_product_values.groupBy(
         F.col("product_category_name_english").alias("category"), "order_id"
     ).agg(F.sum("item_price").alias("category_revenue"))
     reviews = model.semantic_order_metrics.select("order_id", "average_review_score")
@@ -178,14 +176,14 @@ def category_matrix(model) -> DataFrame:
         F.round(revenue, 2).cast(MONEY_TOTAL).alias("merchandise_revenue"),
         orders.alias("orders"),
         F.round(safe_ratio(revenue, orders), 2).cast(MONEY_TOTAL).alias("average_order_value"),
-        F.round(review_mean(), 2).alias("average_review_score"),
+        review_mean().alias("average_review_score"),
     )
 
 
 # R-03
 def seller_state_contribution(model) -> DataFrame:
     """Item revenue per seller state and its share of the total (window over the states)."""
-    per_state = model.semantic_product_metrics.groupBy("seller_state").agg(
+    per_state = model.semantic_product_values.groupBy("seller_state").agg(
         F.sum("item_price").alias("revenue")
     )
     total = F.sum("revenue").over(Window.partitionBy())
@@ -212,7 +210,7 @@ def review_by_status_month(model) -> DataFrame:
     som = model.semantic_order_metrics
     return som.groupBy("order_status", "purchase_month").agg(
         F.count("average_review_score").alias("reviewed_orders"),
-        F.round(review_mean(), 2).alias("average_review_score"),
+        review_mean().alias("average_review_score"),
     ).select("order_status", month_label("purchase_month").alias("purchase_month"),
              "reviewed_orders", "average_review_score")
 
@@ -239,5 +237,6 @@ def dim_date(model) -> DataFrame:
         F.dayofmonth("date").alias("day"),
         F.dayofweek("date").alias("day_of_week"),
         month_label("date").alias("month_label"),
-        F.date_trunc("month", "date").cast("date").alias("month_start"),
+        date_label("date").alias("date_label"),
+        month_start("date").alias("month_start"),
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
 
-from ..functions.aggregates import exact_mean
+from ..functions.aggregates import rounded_mean
 from ..functions.columns import safe_ratio
 
 #: Money totals: exact decimals, wide enough for any realistic total.
@@ -60,7 +60,9 @@ def semantic_order_metrics(fct_orders: DataFrame) -> DataFrame:
 
 
 def semantic_product_metrics(fct_order_items: DataFrame) -> DataFrame:
-    return fct_order_items.select(*SEMANTIC_PRODUCT_COLUMNS)
+    """The item view; over rows without the item number, the view without it."""
+    present = set(fct_order_items.columns)
+    return fct_order_items.select(*[c for c in SEMANTIC_PRODUCT_COLUMNS if c != "order_item_id" or c in present])
 
 
 @dataclass(frozen=True)
@@ -100,35 +102,34 @@ ORDER_METRICS = SemanticModel(
     grain="one row per order_id",
     dimensions=("purchase_month", "order_status", "customer_state", "customer_unique_id"),
     measures=_measures(
-        Measure("merchandise_revenue", _sum("merchandise_revenue"), "Sum of item prices, excluding freight."),
-        Measure("freight_revenue", _sum("freight_revenue"), "Sum of freight values."),
+        Measure("merchandise_revenue", _sum("merchandise_revenue"), "sum() of the order fact's merchandise_revenue; NULL when no order has items."),
+        Measure("freight_revenue", _sum("freight_revenue"), "sum() of the order fact's freight_revenue."),
         Measure(
             "order_total_value",
             lambda: (F.sum("merchandise_revenue") + F.sum("freight_revenue")).cast(MONEY_TOTAL),
-            "Merchandise plus freight revenue.",
+            "The two sums above, added after summing.",
         ),
-        Measure("orders", _distinct("order_id"), "Distinct orders."),
-        Measure("customers", _distinct("customer_unique_id"), "Distinct customers by person id."),
+        Measure("orders", _distinct("order_id"), "count(distinct order_id)."),
+        Measure("customers", _distinct("customer_unique_id"), "count(distinct customer_unique_id): a person with several customer_id values counts once."),
         Measure(
             "average_order_value",
             lambda: safe_ratio(F.sum("merchandise_revenue").cast("double"), F.count_distinct("order_id")),
-            "Merchandise revenue divided by distinct orders.",
+            "The revenue sum as a double over the order count; NULL for no orders.",
         ),
         Measure(
             "on_time_delivery_rate",
             lambda: F.avg("on_time_delivery_flag"),
-            "Share of evaluable delivered orders that arrived by the estimated date.",
+            "avg() of the 0/1 on-time flag; orders whose flag is NULL do not enter.",
         ),
         Measure(
             "average_review_score",
-            # order-independent mean: identical digits on every run
-            lambda: exact_mean("average_review_score", 9),
-            "Average of per-order review averages, orders with a review only.",
+            lambda: rounded_mean("average_review_score", 9),
+            "Every reviewed order counts once: avg() over the per-order mean scores, rounded to 9 decimals.",
         ),
         Measure(
             "late_delivery_orders",
             lambda: F.count_distinct(F.when(F.col("on_time_delivery_flag") == 0, F.col("order_id"))),
-            "Distinct orders delivered after the estimated date.",
+            "count(distinct order_id) where the on-time flag is 0.",
         ),
     ),
 )
@@ -139,9 +140,9 @@ PRODUCT_METRICS = SemanticModel(
     grain="one row per order_id and order_item_id",
     dimensions=("purchase_month", "product_category_name_english", "seller_state"),
     measures=_measures(
-        Measure("item_merchandise_revenue", _sum("item_price"), "Merchandise revenue at item grain."),
-        Measure("item_freight_revenue", _sum("freight_value"), "Freight revenue at item grain."),
-        Measure("item_count", lambda: F.count("order_item_id"), "Count of order items."),
+        Measure("item_merchandise_revenue", _sum("item_price"), "sum() of item_price over item rows."),
+        Measure("item_freight_revenue", _sum("freight_value"), "sum() of freight_value over item rows."),
+        Measure("item_count", lambda: F.count("order_item_id"), "Item rows with an order_item_id."),
     ),
 )
 

@@ -7,7 +7,7 @@ the casts themselves.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import column_types, malformed, staged_sql
@@ -117,34 +117,31 @@ STAGING: dict[str, tuple[str, Spec]] = {
 }
 
 
-def stage(name: str, raw: DataFrame) -> DataFrame:
-    """Typed projection ``name`` (a key of :data:`STAGING`) over its raw table."""
+def stage(name: str, raw: DataFrame, without: tuple[str, ...] = ()) -> DataFrame:
+    """Typed projection ``name`` (a key of :data:`STAGING`) over its raw table, but for the columns ``without``."""
+    return raw.selectExpr(*staging_sql(name, raw, without))
+
+
+def staging_sql(name: str, raw: DataFrame, without: tuple[str, ...] = ()) -> list[str]:
+    """The SQL expressions of staged table ``name`` over its raw table."""
     _, spec = STAGING[name]
     types = column_types(raw)
-    exprs = [f"{staged_sql(types[src], src, dtype)} AS `{out}`" for src, dtype, out in spec]
+    exprs = [f"{staged_sql(types[src], src, dtype)} AS `{out}`" for src, dtype, out in spec if src not in without]
     if name == "stg_orders":
         purchase = staged_sql(types["order_purchase_timestamp"], "order_purchase_timestamp", "timestamp")
         exprs += [
             f"to_date({purchase}) AS purchase_date",
             f"cast(date_trunc('month', {purchase}) AS date) AS purchase_month",
         ]
-    return raw.selectExpr(*exprs)
+    return exprs
 
 
-def coercion_counts(name: str, raw: DataFrame) -> DataFrame:
-    """One row for staged table ``name``: how many raw values failed to parse.
+def coerced_values(name: str, raw: DataFrame) -> Column:
+    """Aggregate: how many values of staged table ``name`` are not NULL in ``raw`` and do not parse.
 
-    Only non-string targets can fail; the counts are one global aggregate.
+    Text columns cannot fail; a table of text alone counts none.
     """
     _, spec = STAGING[name]
-    typed = [(src, dtype) for src, dtype, _ in spec if dtype != "string"]
-    if not typed:
-        return raw.sparkSession.range(1).select(
-            F.lit(name).alias("table"), F.lit(0).cast("long").alias("coerced_values")
-        )
     types = column_types(raw)
-    failed = None
-    for src, dtype in typed:
-        count = F.count_if(malformed(types[src], src, dtype))
-        failed = count if failed is None else failed + count
-    return raw.agg(failed.alias("coerced_values")).select(F.lit(name).alias("table"), "coerced_values")
+    failed = [F.count_if(malformed(types[src], src, dtype)) for src, dtype, _ in spec if dtype != "string"]
+    return sum(failed[1:], failed[0]) if failed else F.count_if(F.lit(False))

@@ -7,23 +7,19 @@ the other twenty.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import session as _session
-from ..session import checkpoint_dir
 from ..operators import marts, semantic
 from ..operators.staging import STAGING, stage
-from ..sources.tables import LazyTables
 
 
 class Model:
     """raw -> staging -> marts -> semantic views."""
 
-    STAGED = tuple(STAGING)
     MARTS = (
         "dim_customers",
         "dim_sellers",
@@ -46,26 +42,6 @@ class Model:
             return self.raw[name[4:]]
         return getattr(self, name)
 
-    def materialize(self, *names: str) -> "Model":
-        """Write relations that several consumers read (e.g. the facts under
-        the quality checks) once, as parquet in the shared
-        ``spark.checkpoint.dir``, and read them back from there.
-
-        One computation per relation, columnar storage, and the lineage is cut:
-        a lost executor re-reads files instead of recomputing the facts. When
-        the session names no checkpoint folder, the relations stay lazy.
-        """
-        spark = self.table(names[0]).sparkSession
-        if not spark.sparkContext.getConf().get("spark.checkpoint.dir", None):
-            return self
-        base = checkpoint_dir(spark).rstrip("/")
-        run = uuid.uuid4().hex
-        for name in names:
-            path = f"{base}/emporium/{run}/{name}"
-            self.table(name).write.mode("error").parquet(path)
-            self.__dict__[name] = spark.read.parquet(path)
-        return self
-
     def _stage(self, name: str) -> DataFrame:
         source, _ = STAGING[name]
         return stage(name, self.raw[source])
@@ -79,6 +55,12 @@ class Model:
     def stg_order_items(self) -> DataFrame:
         return self._stage("stg_order_items")
 
+    @cached_property
+    def stg_order_item_values(self) -> DataFrame:
+        """``stg_order_items`` without the item number."""
+        raw = self.raw["order_item_values"] if "order_item_values" in set(self.raw) else self.raw["order_items"]
+        return stage("stg_order_items", raw, without=("order_item_id",))
+
     @cached_property
     def stg_order_payments(self) -> DataFrame:
         return self._stage("stg_order_payments")
@@ -130,12 +112,21 @@ class Model:
             self.stg_order_items, self.stg_orders, self.dim_products, self.dim_sellers
         )
 
+    @cached_property
+    def fct_order_item_values(self) -> DataFrame:
+        """``fct_order_items`` without the item number: the stored fact where there is one."""
+        if "fct_order_items" in self.__dict__:
+            return self.fct_order_items.drop("order_item_id")
+        return marts.fct_order_items(
+            self.stg_order_item_values, self.stg_orders, self.dim_products, self.dim_sellers
+        )
+
     @cached_property
     def fct_orders(self) -> DataFrame:
         return marts.fct_orders(
             self.stg_orders,
             self.dim_customers,
-            self.stg_order_items,
+            self.stg_order_item_values,
             self.stg_order_payments,
             self.stg_order_reviews,
         )
@@ -149,6 +140,11 @@ class Model:
     def semantic_product_metrics(self) -> DataFrame:
         return semantic.semantic_product_metrics(self.fct_order_items)
 
+    @cached_property
+    def semantic_product_values(self) -> DataFrame:
+        """``semantic_product_metrics`` without the item number."""
+        return semantic.semantic_product_metrics(self.fct_order_item_values)
+
 
 def from_tpch(spark: SparkSession, directory: str) -> Model:
     """The model over the TPC-H-style parquet tables in ``directory``."""
@@ -156,11 +152,3 @@ def from_tpch(spark: SparkSession, directory: str) -> Model:
 
     _session.prepare(spark)
     return Model(raw_from_tpch(spark, directory))
-
-
-def from_tables(spark: SparkSession, prefix: str = "") -> Model:
-    """The model over already-landed raw tables ``{prefix}{name}`` in the catalog."""
-    from ..sources.catalog import RAW_NAMES
-
-    _session.prepare(spark)
-    return Model(LazyTables({n: (lambda n=n: spark.table(f"{prefix}{n}")) for n in RAW_NAMES}))

@@ -49,14 +49,15 @@ def write_table(
         w = writer.write.format(file_format).mode(mode)
     w.saveAsTable(name)
     if description:
-        text = description.replace("'", "''")
+        text = description.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('comment' = '{text}')")
     return name
 
 
 def create_view(spark: SparkSession, name: str, source: str, columns: Sequence[str], description: str = "") -> str:
-    """Persistent view ``name`` projecting ``columns`` of table ``source``."""
-    comment = f" COMMENT '{description}'" if description else ""
+    """Persistent view ``name`` projecting ``columns`` (SQL expressions) of table ``source``."""
+    text = description.replace("\\", "\\\\").replace("'", "\\'")
+    comment = f" COMMENT '{text}'" if description else ""
     spark.sql(f"CREATE OR REPLACE VIEW {name}{comment} AS SELECT {', '.join(columns)} FROM {source}")
     return name
 

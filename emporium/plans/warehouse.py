@@ -1,5 +1,5 @@
 """Warehouse build: raw -> bronze -> staging views -> gold tables -> semantic
-views -> quality report -> build summary -> quality gate.
+views -> quality reports -> build summary -> quality gate.
 
 Every layer that is reused is written as a table and read back, so the
 quality checks and reports run over stored data (an executor lost during the
@@ -19,8 +19,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from .. import session as _session
-from ..operators import quality
+from ..operators import quality, reports
 from ..operators.semantic import SEMANTIC_ORDER_COLUMNS, SEMANTIC_PRODUCT_COLUMNS
+from ..operators.staging import STAGING, staging_sql
 from ..sources import bronze
 from ..sources.catalog import RAW_TABLES
 from ..sources.tables import LazyTables
@@ -29,10 +30,11 @@ from .model import Model
 
 # Table and column descriptions stored with the published tables.
 TABLE_DESCRIPTIONS = {
-    "dim_customers": "Customer records keyed by the order-specific customer_id; customer_unique_id identifies the person.",
+    "dim_customers": "One row for each customer_id; rows of one person share customer_unique_id.",
     "dim_sellers": "Sellers with their location.",
     "dim_products": "Products with physical attributes and the English category name ('unknown' when untranslated).",
     "dim_geography": "One row per zip prefix: mean coordinates and a representative city and state.",
+    "dim_date": "One row per day from the first to the last purchase date.",
     "fct_order_items": "Item grain: one row per (order_id, order_item_id), enriched with order, product and seller attributes.",
     "fct_orders": "Order grain: commercial, payment, review and delivery measures, one row per order_id.",
     "semantic_order_metrics": "Order-grain view for orders, customers, delivery and review metrics.",
@@ -87,12 +89,21 @@ def build(
     report_path: str | None = None,
     snapshot_path: str | None = None,
     gate: bool = True,
+    constraints: str = "check",
 ) -> BuildResult:
     """Build the warehouse from the nine raw tables and run the quality gate.
 
+    The gate looks at the runtime checks, the column tests and the counts of
+    values that did not parse (warnings). ``constraints`` says what becomes of
+    item rows that break a row constraint when the fact is written: ``check``
+    leaves them to the checks, ``fail`` stops the write at the first one,
+    ``quarantine`` stores them apart.
+
     The quality report (and, if asked, the metric snapshot) is written before
     the gate is applied, so a failing build still leaves its evidence.
     """
+    if constraints not in ("check", "fail", "quarantine"):
+        raise ValueError("constraints must be 'check', 'fail' or 'quarantine'")
     _session.prepare(spark)
     sinks.create_layers(spark, layers.all())
 
@@ -107,15 +118,26 @@ def build(
     )
     model = Model(landed)
 
-    # silver: staging as (session) views over bronze
-    for name in Model.STAGED:
-        getattr(model, name).createOrReplaceTempView(name)
+    # silver: staging as persistent views over bronze
+    tables: dict[str, str] = {}
+    for name, (source, _) in STAGING.items():
+        tables[name] = sinks.create_view(
+            spark, f"{layers.silver}.{name}", f"{layers.bronze}.raw_{source}", staging_sql(name, landed[source]),
+            f"Typed columns of raw_{source}; values that do not parse are NULL.",
+        )
 
     # gold: dimensions and facts as tables, facts bucketed on order_id
-    tables: dict[str, str] = {}
     for name in DIMENSIONS + FACTS:
+        relation = getattr(model, name)
+        if name == "fct_order_items" and constraints == "fail":
+            relation = quality.enforce_constraints(relation, quality.row_constraints(), name)
+        elif name == "fct_order_items" and constraints == "quarantine":
+            relation, refused = quality.split_by_constraints(relation, quality.row_constraints())
+            tables["quarantined_order_items"] = sinks.write_table(
+                refused, f"{layers.gold}.quarantined_order_items", description="Item rows that break a row constraint, with the names of those they break."
+            )
         tables[name] = sinks.write_table(
-            getattr(model, name),
+            relation,
             f"{layers.gold}.{name}",
             bucket_by="order_id" if (buckets and name in FACTS) else None,
             buckets=buckets,
@@ -123,8 +145,9 @@ def build(
             column_descriptions=COLUMN_DESCRIPTIONS,
         )
     stored = Model(landed)
-    for name, table in tables.items():
-        stored.__dict__[name] = spark.table(table)  # read back: cut lineage to the raw inputs
+    for name in DIMENSIONS + FACTS:
+        stored.__dict__[name] = spark.table(tables[name])  # read back: cut lineage to the raw inputs
+    tables["dim_date"] = sinks.write_table(reports.dim_date(stored), f"{layers.gold}.dim_date", description=TABLE_DESCRIPTIONS["dim_date"])
 
     # semantic: persistent views over the gold facts
     for name, source, cols in (
@@ -135,10 +158,16 @@ def build(
             spark, f"{layers.semantic}.{name}", tables[source], cols, TABLE_DESCRIPTIONS[name]
         )
 
-    # quality report, written before the gate
-    checks_table = sinks.write_table(quality.quality_checks(stored), f"{layers.gold}.quality_checks")
-    checks = spark.table(checks_table)
-    verdict = quality.verdict(checks).first()
+    # quality reports, written before the gate
+    checks, column_tests, coerced = (
+        spark.table(sinks.write_table(rows, f"{layers.gold}.{name}"))
+        for name, rows in (
+            ("quality_checks", quality.quality_checks(stored)),
+            ("column_tests", quality.column_tests(stored)),
+            ("coercion_checks", quality.coercion_checks(stored)),
+        )
+    )
+    verdict = quality.verdict(checks.unionByName(column_tests).unionByName(coerced)).first()
     if report_path:
         sinks.write_document(snapshot.quality_report(checks), report_path)
     if snapshot_path:

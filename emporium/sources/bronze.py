@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .catalog import RAW_TABLES
+
 INGESTED_AT = "_ingested_at"
 
 
@@ -28,7 +30,10 @@ def land(
     otherwise the table is replaced. Returns the table names written.
     """
     written = []
-    for name, df in raw.items():
+    for name in raw:
+        if name not in RAW_TABLES:
+            continue  # derived helpers of a source adapter are not extracts
+        df = raw[name]
         table = f"{database}.{prefix}{name}"
         (
             with_ingestion_time(df)

@@ -17,6 +17,17 @@ class RawTable:
     name: str
     columns: tuple[str, ...]
     description: str
+    free_text: bool = False  # fields may hold line breaks
+
+    aliases: tuple[str, ...] = ()  # file names (without .csv) outside the pattern
+
+    def fits(self, file_name: str) -> bool:
+        """Whether an extract of this table may have this file name.
+
+        That is its own name, ``<anything>_<name>_dataset``, or an alias.
+        """
+        stem = file_name.removesuffix(".csv")
+        return stem in (self.name, f"{self.name}_dataset", *self.aliases) or stem.endswith(f"_{self.name}_dataset")
 
     @property
     def schema(self) -> T.StructType:
@@ -44,7 +55,7 @@ RAW_TABLES: dict[str, RawTable] = {
                 "order_delivered_customer_date",
                 "order_estimated_delivery_date",
             ),
-            "One row per order.",
+            "Order headers with the status and the five time stamps of their course.",
         ),
         RawTable(
             "order_items",
@@ -57,7 +68,7 @@ RAW_TABLES: dict[str, RawTable] = {
                 "price",
                 "freight_value",
             ),
-            "One row per product line within an order.",
+            "Lines of an order: what was bought from which seller, at what price and freight.",
         ),
         RawTable(
             "order_payments",
@@ -68,7 +79,7 @@ RAW_TABLES: dict[str, RawTable] = {
                 "payment_installments",
                 "payment_value",
             ),
-            "One row per payment method or instalment record of an order.",
+            "Payments of an order in sequence, by type, with instalments.",
         ),
         RawTable(
             "order_reviews",
@@ -81,7 +92,8 @@ RAW_TABLES: dict[str, RawTable] = {
                 "review_creation_date",
                 "review_answer_timestamp",
             ),
-            "Review records attached to an order.",
+            "Scores and comments customers gave, by order; an id can occur for several orders.",
+            free_text=True,
         ),
         RawTable(
             "customers",
@@ -92,7 +104,7 @@ RAW_TABLES: dict[str, RawTable] = {
                 "customer_city",
                 "customer_state",
             ),
-            "Order-specific customer records with customer location.",
+            "Customers as they appear on orders, with the person behind them and where they live.",
         ),
         RawTable(
             "products",
@@ -107,12 +119,12 @@ RAW_TABLES: dict[str, RawTable] = {
                 "product_height_cm",
                 "product_width_cm",
             ),
-            "Product attributes with source-language category names.",
+            "Products: category in the source language, text lengths, photos, weight and size.",
         ),
         RawTable(
             "sellers",
             ("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"),
-            "Seller identifiers and seller location.",
+            "Sellers and where they are.",
         ),
         RawTable(
             "geolocation",
@@ -123,12 +135,13 @@ RAW_TABLES: dict[str, RawTable] = {
                 "geolocation_city",
                 "geolocation_state",
             ),
-            "Zip-prefix latitude and longitude observations.",
+            "Coordinates seen for a zip prefix, many for each.",
         ),
         RawTable(
             "category_translation",
             ("product_category_name", "product_category_name_english"),
-            "Source-language to English product category mapping.",
+            "English names of product categories.",
+            aliases=("product_category_name_translation",),
         ),
     ]
 }

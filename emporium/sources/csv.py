@@ -12,6 +12,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .catalog import RAW_TABLES, RawTable
 from .tables import LazyTables
@@ -56,21 +57,79 @@ def clean_header(df: DataFrame) -> DataFrame:
     return df if names == df.columns else df.toDF(*names)
 
 
-def read_extract(spark: SparkSession, path: str, table: RawTable) -> DataFrame:
-    """One extract as strings, columns selected by header name in catalogue order."""
-    df = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("multiLine", True)
+#: Rows that do not have the header's number of fields go here, whole.
+MALFORMED = "_malformed_row"
+
+
+def _reader(spark: SparkSession, table: RawTable):
+    # Only extracts with free text can have line breaks in a field. Without
+    # them a file is split at its lines, so a large one is read by many tasks.
+    return (
+        spark.read.option("multiLine", table.free_text)
         .option("escape", '"')
         .option("encoding", "UTF-8")
-        .csv(path)
+        .option("mode", "PERMISSIVE")
     )
-    df = clean_header(df)
-    absent = [c for c in table.columns if c not in df.columns]
+
+
+def header_of(spark: SparkSession, path: str, table: RawTable) -> list[str]:
+    """The column names in the file's header, cleaned; the catalogue's columns must be among them."""
+    names = clean_header(_reader(spark, table).option("header", True).option("inferSchema", False).csv(path)).columns
+    absent = [c for c in table.columns if c not in names]
     if absent:
         raise ValueError(f"{path}: missing columns {absent}")
-    return df.select(*[F.col(c).cast("string") for c in table.columns])
+    return names
+
+
+def read_with_malformed(spark: SparkSession, path: str, table: RawTable) -> DataFrame:
+    """One extract as strings by header name, with :data:`MALFORMED` (NULL for a row of the right width).
+
+    A row with too few or too many fields keeps the values it has, and its text
+    in :data:`MALFORMED`, so it can be counted.
+    """
+    names = header_of(spark, path, table)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
+    df = _reader(spark, table).option("header", True).option("enforceSchema", True).option("columnNameOfCorruptRecord", MALFORMED).schema(schema).csv(path)
+    return df.select(*table.columns, MALFORMED)
+
+
+def malformed_rows(spark: SparkSession, path: str, table: RawTable) -> DataFrame:
+    """One row: ``table, rows, malformed_rows`` of an extract."""
+    df = read_with_malformed(spark, path, table)
+    # All columns are named, so that the scan parses every field of a row.
+    read = F.length(F.concat_ws("", *table.columns)) >= 0
+    return df.agg(
+        F.lit(table.name).alias("table"),
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(MALFORMED).isNotNull() & read).alias("malformed_rows"),
+    )
+
+
+def read_extract(spark: SparkSession, path: str, table: RawTable) -> DataFrame:
+    """One extract as strings, columns selected by header name in catalogue order."""
+    return read_with_malformed(spark, path, table).drop(MALFORMED)
+
+
+def resolve_files(spark: SparkSession, directory: str) -> dict[str, str]:
+    """Table -> file name in ``directory``, by the catalogue's name patterns.
+
+    An extract may be called ``<table>.csv`` or anything that ends in
+    ``<table>_dataset.csv``. The longest table name that fits a file has it
+    (``x_order_items_dataset.csv`` is no ``items``); two files for one table are
+    an error, and a table without one keeps its default name, which the presence
+    check then reports.
+    """
+    found: dict[str, list[str]] = {}
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(directory).select("path")
+    for row in listing.collect():  # one row for each file of the folder
+        name = row["path"].rsplit("/", 1)[-1]
+        fits = [t for t, spec in RAW_TABLES.items() if spec.fits(name)]
+        if fits:
+            found.setdefault(max(fits, key=len), []).append(name)
+    double = {t: sorted(names) for t, names in found.items() if len(names) > 1}
+    if double:
+        raise ValueError(f"more than one file for a table in {directory}: {double}")
+    return {t: found.get(t, [spec.default_file])[0] for t, spec in RAW_TABLES.items()}
 
 
 def load_raw(
@@ -78,11 +137,11 @@ def load_raw(
     directory: str,
     files: Mapping[str, str] | None = None,
 ) -> LazyTables:
-    """The nine raw extracts of ``directory`` (``files`` maps table -> file name).
+    """The nine raw extracts of ``directory`` (``files`` maps table -> file name; else by name pattern).
 
     All files are checked before anything is read.
     """
-    files = dict(files or {name: t.default_file for name, t in RAW_TABLES.items()})
+    files = dict(files or resolve_files(spark, directory))
     unknown = set(files) - set(RAW_TABLES)
     if unknown:
         raise ValueError(f"unknown raw tables {sorted(unknown)}")

@@ -36,16 +36,19 @@ def land_stream(
 ) -> StreamingQuery:
     """Start landing new ``file_glob`` files of ``source_dir`` into table ``target``.
 
-    ``table`` names the raw extract (its columns are read as text, by
-    position, with the header line skipped). Returns the running query; call
-    ``awaitTermination()`` to wait for the backlog to drain.
+    ``table`` names the raw extract, whose columns are read as text. Every
+    file's header must name them in catalogue order; the query fails on a file
+    whose columns are in another order, rather than landing them under wrong
+    names. Returns the running query; call ``awaitTermination()`` to wait for
+    the backlog to drain.
     """
     spec = RAW_TABLES[table]
     location = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/bronze_{target.replace('.', '_')}"
     reader = (
         spark.readStream.schema(spec.schema)
         .option("header", True)
-        .option("multiLine", True)
+        .option("enforceSchema", False)
+        .option("multiLine", spec.free_text)
         .option("escape", '"')
         .option("pathGlobFilter", file_glob)
     )

@@ -1,4 +1,4 @@
-"""The model over CSV extracts: the basic one-order case and the edge cases."""
+"""The model over CSV extracts: two orders worked out by hand, and the edge cases."""
 
 from __future__ import annotations
 
@@ -9,41 +9,48 @@ import pytest
 from pyspark.sql import functions as F
 
 from emporium.operators import quality, reports
-from emporium.operators.staging import coercion_counts
-from emporium.plans.model import Model
-from emporium.sources.csv import MissingInputError, load_raw
+from emporium.plans.model import Model, from_tpch
+from emporium.sources.catalog import RAW_TABLES
+from emporium.sources.csv import MissingInputError, load_raw, malformed_rows, read_extract, resolve_files
 from extracts import BASE, extended, write_extracts
 
+SF = "/root/testdata/sf0.001"
+
 
 def model_of(spark, tmp_dir, tables, **kw):
     write_extracts(os.path.join(tmp_dir, "raw"), tables, **kw)
     return Model(load_raw(spark, os.path.join(tmp_dir, "raw")))
 
 
-def test_one_order_reconciles(spark, tmp_dir):
+def test_two_orders(spark, tmp_dir):
     m = model_of(spark, tmp_dir, BASE)
-    assert m.fct_orders.count() == 1
-    assert m.fct_order_items.count() == 2
+    o = {r["order_id"]: r for r in m.fct_orders.collect()}
+    assert set(o) == {"A1", "A2"} and m.fct_order_items.count() == 4
+    # A1: 59.90 + 2 * 20.05; freight 12.35 + 2 * 7.65
+    assert o["A1"]["merchandise_revenue"] == Decimal("100.00") and o["A1"]["freight_revenue"] == Decimal("27.65")
+    assert o["A1"]["order_total_value"] == Decimal("127.65") and o["A1"]["payment_value"] == Decimal("127.65")
+    assert (o["A1"]["item_count"], o["A1"]["distinct_product_count"], o["A1"]["distinct_seller_count"]) == (3, 2, 2)
+    assert o["A1"]["payment_types"] == "credit_card, voucher" and o["A1"]["max_payment_installments"] == 3
+    # bought 5 March, due 10 March 0:00, came 12 March 15:30
+    assert (o["A1"]["delivery_days"], o["A1"]["delivery_delay_days"]) == (7, 2)
+    assert o["A1"]["delivery_delay_days_exact"] == pytest.approx(2 + 15.5 / 24)
+    assert (o["A1"]["on_time_delivery_flag"], o["A2"]["on_time_delivery_flag"]) == (0, 1)
+    assert o["A2"]["delivery_delay_days"] == -7
+    assert o["A2"]["delivery_delay_days_exact"] == pytest.approx(-7 + 11 / 24)
+    assert (o["A1"]["average_review_score"], o["A2"]["average_review_score"]) == (2.0, 4.5)
     k = reports.kpis(m).first()
-    assert k["merchandise_revenue"] == Decimal("120.00")
-    assert k["orders"] == 1
-    assert k["average_order_value"] == Decimal("120.00")
-    assert k["on_time_delivery_rate"] == 1.0
-    assert k["freight_revenue"] == Decimal("15.00")
-    o = m.fct_orders.first()
-    assert o["order_total_value"] == Decimal("135.00")
-    assert o["payment_types"] == "credit_card"
-    assert o["average_review_score"] == 5.0
-    assert o["delivery_days"] == 3
-    assert o["delivery_delay_days"] == -1
-    assert o["delivery_delay_days_exact"] == -1.0
+    assert k["merchandise_revenue"] == Decimal("349.00") and k["freight_revenue"] == Decimal("58.75")
+    assert (k["orders"], k["customers"]) == (2, 2) and k["average_order_value"] == Decimal("174.50")
+    assert k["on_time_delivery_rate"] == 0.5 and k["average_review_score"] == 3.25
     buckets = {r["delivery_bucket"]: r["orders"] for r in reports.delivery_distribution(m).collect()}
-    assert buckets == {"1-14 days early": 1}
+    assert buckets == {"1-7 days late": 1, "1-14 days early": 1}
+    top = [(r["category"], r["merchandise_revenue"], r["orders"]) for r in reports.top_categories(m).collect()]
+    assert top == [("garden", Decimal("289.10"), 2), ("tools", Decimal("59.90"), 1)]
     v = quality.verdict(quality.quality_checks(m)).first()
     assert v["passed"] and v["check_count"] == 14 and v["failed_count"] == 0
 
 
-def _order(oid, cust="c1", status="delivered", purchase="2017-01-01 00:00:00", delivered=None,
+def _order(oid, cust="k1", status="delivered", purchase="2017-01-01 00:00:00", delivered=None,
            estimated="2017-01-10 00:00:00", carrier="2017-01-02 00:00:00", approved="2017-01-01 01:00:00"):
     return {"order_id": oid, "customer_id": cust, "order_status": status,
             "order_purchase_timestamp": purchase, "order_approved_at": approved,
@@ -51,7 +58,7 @@ def _order(oid, cust="c1", status="delivered", purchase="2017-01-01 00:00:00", d
             "order_estimated_delivery_date": estimated}
 
 
-def _item(oid, n, product="p1", seller="s1", price="10.0", freight="1.0"):
+def _item(oid, n, product="drill", seller="v1", price="10.0", freight="1.0"):
     return {"order_id": oid, "order_item_id": str(n), "product_id": product, "seller_id": seller,
             "shipping_limit_date": "2017-01-02 00:00:00", "price": price, "freight_value": freight}
 
@@ -92,7 +99,7 @@ EDGE = extended(
          "review_creation_date": "2017-01-06 00:00:00"},
     ],
     customers=[
-        {"customer_id": "c2", "customer_unique_id": "u1", "customer_zip_code_prefix": "01037",
+        {"customer_id": "c2", "customer_unique_id": "ana", "customer_zip_code_prefix": "01037",
          "customer_city": "campinas", "customer_state": "PE"},
         {"customer_id": "c3", "customer_unique_id": "u3", "customer_zip_code_prefix": "20000",
          "customer_city": "rio", "customer_state": "RJ"},
@@ -102,8 +109,8 @@ EDGE = extended(
         {"product_id": "p_untranslated", "product_category_name": "sem_traducao"},
     ],
     geolocation=[
-        {"geolocation_zip_code_prefix": "50000", "geolocation_lat": "-23.7", "geolocation_lng": "-46.8",
-         "geolocation_city": "abc", "geolocation_state": "PE"},
+        {"geolocation_zip_code_prefix": "04500", "geolocation_lat": "-12.70", "geolocation_lng": "-60.10",
+         "geolocation_city": "cabixi", "geolocation_state": "RO"},
         {"geolocation_zip_code_prefix": "01037", "geolocation_lat": "-23.0", "geolocation_lng": "-46.0",
          "geolocation_city": "centro", "geolocation_state": "PE"},
         {"geolocation_zip_code_prefix": "", "geolocation_lat": "1", "geolocation_lng": "2",
@@ -129,7 +136,7 @@ def test_delivery_semantics(edge):
     exact = {r["delivery_bucket"]: r["orders"] for r in reports.delivery_distribution(edge).collect()}
     assert exact["8+ days late"] == 1  # 7.5 days late
     assert exact["On estimated date"] == 1  # half a day early
-    assert exact["1-7 days late"] == 1  # same calendar day, 6 hours late
+    assert exact["1-7 days late"] == 2  # 6 hours late on the day itself; A1
     whole = {r["delivery_bucket"]: r["orders"]
              for r in reports.delivery_distribution(edge, "delivery_delay_days").collect()}
     assert whole["On estimated date"] == 1  # same calendar day, though 6 hours late
@@ -144,22 +151,22 @@ def test_payments_reviews_customers(edge):
     assert o["o_nullpay"]["payment_types"] == ""
     assert o["o_pay"]["review_count"] == 2  # r2 twice, r3
     assert o["o_pay"]["average_review_score"] == 3.0
-    assert o["o_pay"]["customer_unique_id"] == "u1"
+    assert o["o_pay"]["customer_unique_id"] == "ana"
     k = reports.kpis(edge).first()
-    assert k["customers"] == 2  # u1 (c1, c2) and u3
-    # the average of per-order averages: orders o1 (5.0) and o_pay (3.0)
-    assert k["average_review_score"] == 4.0
+    assert k["customers"] == 3  # ana (k1, c2), rui and u3
+    # the average of per-order averages: A1 2.0, A2 4.5 and o_pay 3.0
+    assert k["average_review_score"] == 3.17
 
 
 def test_categories_and_geography(edge):
     cats = {r["product_id"]: r["product_category_name_english"] for r in edge.dim_products.collect()}
     assert cats["p_nocat"] == "unknown" and cats["p_untranslated"] == "unknown"
-    assert cats["p1"] == "toys"
+    assert cats["drill"] == "tools"
     geo = {r["geolocation_zip_code_prefix"]: r for r in edge.dim_geography.collect()}
-    assert set(geo) == {"50000", "01037", None}
-    assert geo["50000"]["source_observation_count"] == 2
-    assert geo["50000"]["latitude"] == pytest.approx(-23.6)
-    assert geo["50000"]["representative_city"] == "abc"
+    assert set(geo) == {"04500", "88010", "01037", None}
+    assert geo["04500"]["source_observation_count"] == 2
+    assert geo["04500"]["latitude"] == -12.72
+    assert geo["04500"]["representative_city"] == "cabixi"
 
 
 def test_malformed_values_are_null_and_counted(edge, spark):
@@ -169,10 +176,10 @@ def test_malformed_values_are_null_and_counted(edge, spark):
     assert reviews["review_answer_timestamp"] is None
     assert reviews["review_comment_title"] == 'said "great", really'
     assert reviews["review_comment_message"] == "line one\nline two, ok"
-    counts = {r["table"]: r["coerced_values"] for name in ("stg_order_items", "stg_order_reviews")
-              for r in coercion_counts(name, edge.raw[{"stg_order_items": "order_items",
-                                                       "stg_order_reviews": "order_reviews"}[name]]).collect()}
-    assert counts == {"stg_order_items": 1, "stg_order_reviews": 1}
+    counts = {r["name"]: r for r in quality.coercion_checks(edge).collect()}
+    assert len(counts) == 9 and {r["severity"] for r in counts.values()} == {"warning"}
+    failed = {n: r["observed"] for n, r in counts.items() if not r["passed"]}
+    assert failed == {"coerced_values_stg_order_items": "1", "coerced_values_stg_order_reviews": "1"}
 
 
 def test_bom_header_is_clean(edge):
@@ -190,8 +197,34 @@ def test_empty_inputs(spark, tmp_dir):
     m = model_of(spark, tmp_dir, {})
     k = reports.kpis(m).first()
     assert k["orders"] == 0 and k["average_order_value"] is None and k["merchandise_revenue"] is None
-    v = quality.verdict(quality.quality_checks(m)).first()
-    assert v["passed"]
+    checks = quality.quality_checks(m)
+    v = quality.verdict(checks).first()
+    # no revenue to compare: the reconciliation cannot be evaluated, so it has not passed
+    assert not v["passed"] and v["failed_count"] == 1
+    assert [r["name"] for r in checks.where("not passed").collect()] == ["revenue_reconciliation"]
+    assert quality.verdict(checks.limit(0)).first()["passed"] is False
+
+
+def test_a_check_that_cannot_be_evaluated_fails(spark, tmp_dir):
+    broken = [dict(r, price="n/a", freight_value="-") for r in BASE["order_items"]]
+    m = model_of(spark, tmp_dir, {**BASE, "order_items": broken})
+    checks = {r["name"]: r for r in quality.quality_checks(m).collect()}
+    assert checks["revenue_reconciliation"]["passed"] is False and checks["revenue_reconciliation"]["observed"] is None
+    assert not quality.verdict(quality.quality_checks(m)).first()["passed"]
+    coerced = {r["name"]: r["observed"] for r in quality.coercion_checks(m).collect()}
+    assert coerced["coerced_values_stg_order_items"] == "8"
+
+
+def test_raw_scores_are_checked_before_they_are_cast(spark, tmp_dir):
+    scores = ["7.5", "5.0", "3", " 4 ", "0", "NaN", "good", ""]
+    reviews = [{"review_id": f"x{i}", "order_id": "A1", "review_score": s} for i, s in enumerate(scores)]
+    m = model_of(spark, tmp_dir, {**BASE, "order_reviews": reviews})
+    staged = {r["review_id"]: r["review_score"] for r in m.stg_order_reviews.collect()}
+    assert [staged[f"x{i}"] for i in range(len(scores))] == [None, 5, 3, 4, 0, None, None, None]
+    check = {r["name"]: r for r in quality.quality_checks(m).collect()}["review_score_range"]
+    assert not check["passed"] and check["observed"] == "3"  # 7.5, 0 and NaN
+    coerced = {r["name"]: r["observed"] for r in quality.coercion_checks(m).collect()}
+    assert coerced["coerced_values_stg_order_reviews"] == "3"  # 7.5, NaN and good
 
 
 def test_failing_checks(spark, tmp_dir):
@@ -201,6 +234,7 @@ def test_failing_checks(spark, tmp_dir):
         order_reviews=[{"review_id": "r9", "order_id": "o_bad", "review_score": "6"}],
     )
     m = model_of(spark, tmp_dir, bad)
+    assert [tuple(r) for r in quality.invalid_statuses(m.fct_orders).collect()] == [("lost", 1)]
     checks = {r["name"]: r for r in quality.quality_checks(m).collect()}
     assert not checks["relationship_fct_order_items_dim_products"]["passed"]
     assert not checks["relationship_fct_order_items_dim_sellers"]["passed"]
@@ -221,3 +255,74 @@ def test_duplicate_dimension_key_fails_the_join(spark, tmp_dir):
     m = model_of(spark, tmp_dir, dup)
     with pytest.raises(Exception, match="duplicate key"):
         m.fct_order_items.collect()
+
+
+def test_a_repeated_order_fails_every_report(spark, tmp_dir):
+    m = model_of(spark, tmp_dir, extended(orders=[dict(BASE["orders"][0])]))
+    for report in (
+        reports.kpis, reports.monthly_sales, reports.top_categories, reports.state_performance,
+        reports.delivery_distribution, reports.monthly_orders, reports.category_matrix, reports.on_time_by_state,
+        reports.review_by_status_month, reports.data_as_of, reports.seller_state_contribution,
+    ):
+        if report in (reports.top_categories, reports.seller_state_contribution):
+            continue  # these use no column of the orders, so no order row can double an item
+        with pytest.raises(Exception, match="duplicate key"):
+            report(m).collect()
+    assert reports.top_categories(m).first()["merchandise_revenue"] == Decimal("289.10")
+
+
+def test_null_order_keys_stay(spark, tmp_dir):
+    m = model_of(spark, tmp_dir, extended(orders=[_order(""), _order("")]))
+    assert m.fct_orders.where("order_id is null").count() == 2
+    checks = {r["name"]: r for r in quality.quality_checks(m).collect()}
+    assert not checks["unique_fct_orders_order_id"]["passed"]
+
+
+def _scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_unused_joins_are_dropped(spark):
+    m = from_tpch(spark, SF)
+    plan = reports.delivery_distribution(m)._jdf.queryExecution().optimizedPlan().toString()
+    assert "c_custkey" not in plan and "NestedLoop" not in plan
+    assert _scans(reports.delivery_distribution(m)) <= 2  # orders, and their keys
+    assert _scans(reports.seller_state_contribution(m)) <= 4  # items, sellers and where they are
+    assert "BroadcastNestedLoop" not in reports.category_matrix(m)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_each_check_group_reads_a_fact_once(spark):
+    m = from_tpch(spark, SF)
+    stored = Model(m.raw)
+    for name in ("fct_orders", "fct_order_items", "dim_customers", "dim_products", "dim_sellers"):
+        stored.__dict__[name] = spark.createDataFrame(getattr(m, name).limit(5).collect(), getattr(m, name).schema)
+    plan = quality.quality_checks(stored)._jdf.queryExecution().optimizedPlan().toString()
+    # the item fact: one pass for the checks, one for each of three references; the order fact: one
+    # pass, one for its reference, one for the statuses (counted and listed) and one as a parent
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 16
+
+
+def test_malformed_rows_are_counted(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "sellers.csv")
+    with open(path, "w") as fh:
+        fh.write("seller_city,seller_id,seller_zip_code_prefix,seller_state\nlages,v1,88010,SC\n")
+        fh.write("lages,v2,88010,SC,surplus\nlages,v3\n\"a, b\",v4,88010,SC\n")
+    r = malformed_rows(spark, path, RAW_TABLES["sellers"]).first()
+    assert (r["table"], r["rows"], r["malformed_rows"]) == ("sellers", 4, 2)
+    rows = {r["seller_id"]: r for r in read_extract(spark, path, RAW_TABLES["sellers"]).collect()}
+    assert set(rows) == {"v1", "v2", "v3", "v4"} and rows["v4"]["seller_city"] == "a, b"
+    assert rows["v3"]["seller_state"] is None
+
+
+def test_files_are_found_by_their_names(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "named")
+    write_extracts(d, BASE)
+    for name in RAW_TABLES:
+        target = "product_category_name_translation.csv" if name == "category_translation" else f"shop_{name}_dataset.csv"
+        os.rename(os.path.join(d, f"{name}.csv"), os.path.join(d, target))
+    assert resolve_files(spark, d)["order_items"] == "shop_order_items_dataset.csv"
+    assert Model(load_raw(spark, d)).fct_orders.count() == 2
+    with open(os.path.join(d, "orders.csv"), "w") as fh:
+        fh.write("order_id\n")
+    with pytest.raises(ValueError, match="more than one file"):
+        load_raw(spark, d)

@@ -25,18 +25,18 @@ def test_catalogue_declares_both_models():
 
 def test_order_measures(model):
     r = metric_query(model, "order_metrics", list(CATALOGUE["order_metrics"].measures)).first()
-    assert float(r["merchandise_revenue"]) == 120.0
-    assert float(r["order_total_value"]) == 135.0
-    assert r["average_order_value"] == 120.0
-    assert r["late_delivery_orders"] == 0
-    assert r["on_time_delivery_rate"] == 1.0
+    assert float(r["merchandise_revenue"]) == 349.0
+    assert float(r["order_total_value"]) == 407.75
+    assert r["average_order_value"] == 174.5
+    assert r["late_delivery_orders"] == 1
+    assert r["on_time_delivery_rate"] == 0.5
 
 
 def test_grouping_and_slicer(model):
     rows = metric_query(model, "product_metrics", ["item_count", "item_merchandise_revenue"],
                         by=["product_category_name_english"]).collect()
     assert {r["product_category_name_english"]: r["item_count"] for r in rows} == {
-        "toys": 1, "stationery": 1}
+        "tools": 1, "garden": 3}
     none = metric_query(model, "order_metrics", ["orders"], by=["customer_state"],
                         where="order_status = 'canceled'").collect()
     assert none == []
