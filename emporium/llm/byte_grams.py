@@ -95,8 +95,12 @@ def collect_grams(counted: DataFrame, max_cells: int) -> tuple[list[str], np.nda
     wide = counted.groupBy("gram").agg(
         F.sum("n").alias("all"), *[F.coalesce(F.sum(F.when(F.col("label") == x, F.col("n"))), F.lit(0)).alias(f"n{k}") for k, x in enumerate(labels)]
     )
-    kept = wide.orderBy(F.desc("all"), "gram").limit(max(1, max_cells // len(labels))).drop("all").toPandas().sort_values("gram")
-    return labels, kept["gram"].to_numpy().astype(np.uint64), kept[[f"n{k}" for k in range(len(labels))]].to_numpy(dtype=np.float64)
+    kept = wide.orderBy(F.desc("all"), "gram").limit(max(1, max_cells // len(labels))).drop("all").toPandas()
+    order = np.argsort(kept["gram"].to_numpy())
+    counts = np.empty((len(kept), len(labels)))
+    for k in range(len(labels)):
+        counts[:, k] = kept[f"n{k}"].to_numpy()[order]
+    return labels, kept["gram"].to_numpy()[order].astype(np.uint64), counts
 
 
 def held_out() -> Column:
@@ -145,8 +149,8 @@ class Lookup:
     """
 
     def __init__(self, tree: list[Level], values: list[np.ndarray], misses: list[np.ndarray], floor: np.ndarray):
-        self.values = [v.astype(np.float32) for v in values]
-        self.misses = [m.astype(np.float32) for m in misses]
+        self.values = [v.astype(np.float32, copy=False) for v in values]
+        self.misses = [m.astype(np.float32, copy=False) for m in misses]
         self.floor = floor.astype(np.float32)
         self.grams = [HashIndex(level.keys) for level in tree]
         self.contexts = [HashIndex(level.contexts) for level in tree]

@@ -32,12 +32,13 @@ def code_lengths(tree: list[Level]) -> Lookup:
         escape = np.where(n > 0, np.log2(np.maximum(n + t, 1) / np.maximum(t, 1)), 0.0)
         shorter = 8.0 if k == 0 else values[-1][level.below(tree[k - 1])]
         c, at = level.counts, level.context_of
-        values.append(np.where(c > 0, np.log2(np.maximum(n + t, 1)[at] / np.maximum(c, 1)), escape[at] + shorter))
-        escapes.append(escape)
+        bits = np.where(c > 0, np.log2(np.maximum(n + t, 1)[at] / np.maximum(c, 1)), escape[at] + shorter)
+        values.append(bits.astype(np.float32))
+        escapes.append(escape.astype(np.float32))
     return Lookup(tree, values, escapes, np.full(tree[0].counts.shape[1], 8.0))
 
 
-def train(docs: DataFrame, context: int = 4, max_cells: int = 8_000_000) -> tuple[list[str], Lookup | None]:
+def train(docs: DataFrame, context: int = 4, max_cells: int = 4_000_000) -> tuple[list[str], Lookup | None]:
     """Languages and their trees, from all rows of ``docs(doc_id, text, lang)`` that are not held out.
 
     Every such text is counted, whole, in Spark; ``max_cells`` bounds the counts
@@ -50,7 +51,7 @@ def train(docs: DataFrame, context: int = 4, max_cells: int = 8_000_000) -> tupl
     return languages, code_lengths(levels(keys, counts, context + 1)) if len(keys) else None
 
 
-def identify(docs: DataFrame, context: int = 4, max_cells: int = 8_000_000) -> DataFrame:
+def identify(docs: DataFrame, context: int = 4, max_cells: int = 4_000_000) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score)`` of every row of ``docs(doc_id, text, lang)``.
 
     The language whose variable-order byte context tree codes the whole text in

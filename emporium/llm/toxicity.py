@@ -42,8 +42,8 @@ def log_ratios(tree: list[Level], discount: float = 0.75, shared_length: int = 2
         own = np.where(n > 0, np.maximum(level.counts - discount, 0) / seen + discount * level.types[at] / seen * base, low_own)
         shared = (np.maximum(level.distinct - discount, 0) + discount * level.distinct_types[at] * low_shared) / level.distinct_total[at]
         left = np.where(level.total > 0, discount * level.types / np.maximum(level.total, 1), 1.0)
-        values.append(np.log(own[:, 1:]) - np.log(own[:, :1]))
-        misses.append(np.log(left[:, 1:]) - np.log(left[:, :1]))
+        values.append((np.log(own[:, 1:]) - np.log(own[:, :1])).astype(np.float32))
+        misses.append((np.log(left[:, 1:]) - np.log(left[:, :1])).astype(np.float32))
     return Lookup(tree, values, misses, np.zeros(1))
 
 
@@ -86,7 +86,7 @@ def _ratios(model, order: int):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, order: int = 5, max_cells: int = 8_000_000, fit_rows: int = 50_000, broadcast_labels: int = 2_000_000):
+def train(docs: DataFrame, labels: DataFrame, order: int = 5, max_cells: int = 4_000_000, fit_rows: int = 50_000, broadcast_labels: int = 2_000_000):
     """The two models' broadcast log ratios and the weights of the score.
 
     Learns from rows of ``labels(doc_id, toxic)`` whose document is not held
