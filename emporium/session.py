@@ -8,7 +8,6 @@ whoever owns the session; on a cluster that is the job's own configuration.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -71,9 +70,8 @@ def local_session(
         builder = builder.config(key, value)
     active = SparkSession.getActiveSession()
     if active is None or not active.sparkContext.getConf().get("spark.checkpoint.dir", None):
-        # Local runs only: a scratch folder of our own, new for each session.
-        scratch = tempfile.mkdtemp(prefix="emporium-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        builder = builder.config("spark.checkpoint.dir", scratch)
+        # One machine only (tests, bench): where no folder is set, a scratch folder, new for each session.
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="emporium-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return prepare(spark)
