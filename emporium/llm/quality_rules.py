@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,16 +124,26 @@ MORE_RULES = (
 RULES = BASE_RULES + MORE_RULES
 
 
+def _few_files(docs: DataFrame, n: int = 8) -> DataFrame:
+    """The rows of ``n`` evenly spaced files of a table that is read from more, so a sample costs no full scan."""
+    names = sorted({path.rsplit("/", 1)[-1] for path in docs.inputFiles()})
+    if len(names) <= n:
+        return docs
+    try:
+        return docs.where(F.col("_metadata.file_name").isin(names[:: -(-len(names) // n)]))
+    except AnalysisException:  # not a plain scan: its rows do not say which file they come from
+        return docs
+
+
 def ordered(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 2000) -> list[Rule]:
     """``rules`` by rejections per second on a sample of ``docs``, the best first.
 
-    The sample is at most ``sample_rows`` rows (a Bernoulli sample, cut off
-    there) and only decides the order; which rows are rejected never depends on
-    it. A rule that rejects nothing there comes last, the cheapest first.
+    The sample is at most ``sample_rows`` rows (a quarter of the rows of a few
+    files, cut off there) and only decides the order; which rows are rejected
+    never depends on it. A rule that rejects nothing there comes last, the
+    cheapest first.
     """
-    total = docs.count()
-    share = min(1.0, 2.0 * sample_rows / total) if total else 1.0
-    sample = cut(docs.sample(share, seed=7).limit(sample_rows).select(F.coalesce("text", F.lit("")).alias("text")))
+    sample = cut(_few_files(docs).sample(0.25, seed=7).limit(sample_rows).select(F.coalesce("text", F.lit("")).alias("text")))
 
     def measured(rule: Rule) -> tuple[float, float]:
         query = sample.agg(F.count_if(rule.rejects(F.col("text"))).alias("n"))
