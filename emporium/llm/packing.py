@@ -25,12 +25,8 @@ PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, seque
 class _Store:
     """Strings and the ids each stands for, in one growing array."""
 
-    #: The strings that came first are mostly the frequent ones; a small table of them stays in the processor's cache.
-    OFTEN = 30_000
-
     def __init__(self):
         self.row: dict = {}
-        self.often: dict = {}
         self.start, self.length = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64)
         self.ids, self.used = np.zeros(1 << 14, dtype=np.uint32), 0
 
@@ -47,7 +43,6 @@ class _Store:
         self.ids[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
         self.row.update(zip(names, range(n, n + m)))
-        self.often.update(zip(names[: max(0, self.OFTEN - n)], range(n, n + m)))
 
     def flat(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows in a row, and where each one's end."""
@@ -61,15 +56,17 @@ class Encoder:
 
     The tokenizer never joins characters across a blank or line feed, so a
     text's ids are its chunks' ids in a row. A chunk of plain letters and
-    punctuation is put together from the two, which it encodes apart and in
-    lower case; any other chunk is encoded as it is. The bounds on what is kept
-    limit memory only: what is dropped is encoded again.
+    punctuation is put together from its lower-case word and its marks, which
+    are encoded apart; any other chunk is encoded as it is. ``keep`` bounds the
+    strings that are kept, hence memory only: what is dropped is encoded again.
     """
 
+    #: A small table of the most frequent chunks stays in the processor's cache.
+    OFTEN = 30_000
     #: Letters that are one code point in any normal form and lower-case to one, then ASCII marks but the apostrophe.
     SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
-    def __init__(self, path: str, keep: int = 600_000, keep_parts: int = 1_000_000):
+    def __init__(self, path: str, keep: int = 1_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -77,66 +74,67 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.keep, self.keep_parts = keep, keep_parts
-        self.chunks, self.parts = self._empty(), self._empty()
+        self.keep = keep
+        self._clear()
 
-    @staticmethod
-    def _empty() -> _Store:
-        store = _Store()  # None stands for the end of a text
-        store.add(["", None], np.array([END_ID], dtype=np.uint32), np.array([0, 1]))
-        return store
+    def _clear(self) -> None:
+        self.store, self.often = _Store(), {}
+        self.store.add(["", None], np.array([END_ID], dtype=np.uint32), np.array([0, 1]))  # None: the end of a text
 
     def _learn(self, words: set[str], others: set[str]) -> None:
-        """Encode parts that are not known yet; ``words`` are letters alone."""
-        plain = list(words.difference(self.parts.row))
+        """Encode strings that are not known yet; ``words`` are letters alone."""
+        plain = list(words.difference(self.store.row))
         if plain:  # one word each: all in one text, told apart by the ids that end a word
             flat = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, dtype=np.uint32)
             end = np.flatnonzero(self.ends_word[flat]) + 1
-            self.parts.add(plain, flat, np.diff(end, prepend=0))
-        other = list(others.difference(self.parts.row))
+            self.store.add(plain, flat, np.diff(end, prepend=0))
+        other = list(others.difference(self.store.row))
         if other:
             got = [e.ids for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]
             sizes = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
-            self.parts.add(other, np.fromiter(itertools.chain.from_iterable(got), dtype=np.uint32, count=int(sizes.sum())), sizes)
+            self.store.add(other, np.fromiter(itertools.chain.from_iterable(got), dtype=np.uint32, count=int(sizes.sum())), sizes)
 
     def _add(self, chunks: list[str]) -> None:
-        simple, first, second, whole = self.SIMPLE.fullmatch, [], [], set()
+        simple, words, whole, joined, pairs = self.SIMPLE.fullmatch, set(), set(), [], []
         for chunk in chunks:
             found = simple(chunk)
             if found is None or "<|" in chunk:
-                first.append(chunk)
-                second.append("")
                 whole.add(chunk)
-            else:
-                word, marks = found.groups()
-                first.append(word.lower())
-                second.append(marks)
-        self._learn(set(first) - whole, whole.union(second))
-        rows = np.empty(2 * len(chunks), dtype=np.int64)
-        rows[0::2] = np.fromiter(map(self.parts.row.__getitem__, first), dtype=np.int64, count=len(first))
-        rows[1::2] = np.fromiter(map(self.parts.row.__getitem__, second), dtype=np.int64, count=len(second))
-        flat, end = self.parts.flat(rows)
-        self.chunks.add(chunks, flat, np.diff(end[1::2], prepend=0))
+                continue
+            word, marks = found.groups()
+            low = word.lower()
+            words.add(low)
+            if low != chunk:
+                joined.append(chunk)
+                pairs += (low, marks)
+        self._learn(words, whole.union(pairs[1::2]))
+        rows = np.fromiter(map(self.store.row.__getitem__, pairs), dtype=np.int64, count=len(pairs))
+        flat, end = self.store.flat(rows)
+        self.store.add(joined, flat, np.diff(end[1::2], prepend=0))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, each text's followed by the end id, and where each text begins."""
-        if len(self.parts.row) > self.keep_parts:
-            self.parts = self._empty()
-        if len(self.chunks.row) > self.keep:
-            self.chunks = self._empty()
+        if len(self.store.row) > self.keep:
+            self._clear()
         parts = []
         for t in texts:
             parts.append(t.replace("\n", " ").split(" "))
             parts[-1].append(None)
         chunks = list(itertools.chain.from_iterable(parts))
-        rows = np.fromiter(map(self.chunks.often.get, chunks, itertools.repeat(-1)), dtype=np.int64, count=len(chunks))
+        known = self.store.row
+        rows = np.fromiter(map(self.often.get, chunks, itertools.repeat(-1)), dtype=np.int64, count=len(chunks))
         seldom = np.flatnonzero(rows < 0)
-        rows[seldom] = np.fromiter(map(self.chunks.row.get, map(chunks.__getitem__, seldom.tolist()), itertools.repeat(-1)), dtype=np.int64, count=len(seldom))
+        rows[seldom] = np.fromiter(map(known.get, map(chunks.__getitem__, seldom.tolist()), itertools.repeat(-1)), dtype=np.int64, count=len(seldom))
         missing = np.flatnonzero(rows < 0)
         if len(missing):
-            self._add(list(dict.fromkeys(chunks[i] for i in missing)))
-            rows[missing] = [self.chunks.row[chunks[i]] for i in missing]
-        flat, end = self.chunks.flat(rows)
+            names = list(map(chunks.__getitem__, missing.tolist()))
+            self._add(list(dict.fromkeys(names)))
+            rows[missing] = list(map(known.__getitem__, names))
+        if not self.often:
+            row, at, times = np.unique(rows, return_index=True, return_counts=True)
+            top = np.argsort(-times, kind="stable")[: self.OFTEN]
+            self.often = {chunks[i]: int(r) for i, r in zip(at[top].tolist(), row[top].tolist())}
+        flat, end = self.store.flat(rows)
         last = np.cumsum([len(p) for p in parts]) - 1
         return flat, np.concatenate([[0], end[last]]) if len(parts) else np.zeros(1, dtype=np.int64)
 

@@ -18,7 +18,7 @@ def test_chunks_give_the_tokenizers_ids():
     letters = "ab'st ΣσİÁ̀é\t\n\r\x0b\x1c\x85　​ <|endoftext|> 12.,!日本\U0001f600"
     texts = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 60))) for _ in range(800)]
     texts += ["", " ", "<|startoftext|>a<|endoftext|>b c", "It's we're they'll", "x" * 5000, "Straße. ÀÉ-È; (naïve) A<|endoftext|> x<|b ÿ! ÷ × don't."]
-    reference, encoder = Tokenizer.from_file(PATH), Encoder(PATH, keep=200, keep_parts=300)  # the small store is emptied often
+    reference, encoder = Tokenizer.from_file(PATH), Encoder(PATH, keep=300)  # the small store is emptied often
     for k in range(0, len(texts), 50):
         flat, begin = encoder.encode(texts[k : k + 50])
         for i, t in enumerate(texts[k : k + 50]):
