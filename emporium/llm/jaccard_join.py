@@ -323,11 +323,12 @@ def jaccard_join(
     members = members.join(sized, "root").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
 
     wanted = members.select(F.col("least").alias("id")).distinct()
-    if wanted.limit(broadcast_ids + 1).count() <= broadcast_ids:
-        wanted = F.broadcast(wanted)
+    known = members.select("fp", "root", "copies", "blocks", "block")
+    if members.limit(broadcast_ids + 1).count() <= broadcast_ids:
+        wanted, known = F.broadcast(wanted), F.broadcast(known)
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     sets = texts.mapInPandas(_hashes(shingle), "fp binary, hashes binary")
-    held = sets.join(members, "fp")
+    held = sets.join(known, "fp")
     paired = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "root", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "fp", "block", "copies", "hashes"
     ).dropDuplicates(["root", "left", "right", "fp"])
@@ -335,14 +336,19 @@ def jaccard_join(
 
     classes = components(found.select(F.col("fp").alias("a"), F.col("root").alias("b")))
     counted = found.groupBy("fp").agg(F.sum("links").alias("links"))
-    per_node = cut(
-        nodes.select("fp", "copies", "least")
-        .join(counted, "fp", "left")
-        .join(classes.select(F.col("node").alias("fp"), "root"), "fp", "left")
-        .select("fp", "least", F.coalesce("root", "fp").alias("root"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
+    # Only nodes that were compared have a class of more than one node.
+    linked = cut(
+        counted.join(classes.select(F.col("node").alias("fp"), F.col("root").alias("class")), "fp", "left")
+        .join(members.select("fp", "copies", "least"), "fp")
+        .select("fp", "least", F.coalesce("class", "fp").alias("class"), (F.col("copies") - 1 + F.col("links")).alias("links"))
+    )
+    named = linked.groupBy("class").agg(F.min("least").alias("class_id"))
+    compared = linked.join(named, "class").select("fp", "class_id", "links", F.lit(True).alias("compared"))
+    final = nodes.select("fp", "copies", "least").join(compared, "fp", "left").select(
+        "fp",
+        F.when(F.col("compared"), F.col("class_id")).otherwise(F.col("least")).alias("class_id"),
+        F.when(F.col("compared"), F.col("links")).otherwise(F.col("copies") - 1).alias("links"),
     )
-    named = per_node.groupBy("root").agg(F.min("least").alias("class_id"))
-    final = per_node.join(named, "root").select("fp", "class_id", "links")
     return rows.select("doc_id", "fp").join(final, "fp", "left").select(
         "doc_id",
         F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
