@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from emporium.llm.common import cut, mix, shingles, ship, steps, words
 from emporium.llm.components import components
 
-COORDINATES = 128  # MinHash values of a set
+COORDINATES = 64  # MinHash values of a set
 SPLITS = 1.25  # coordinates a bucket is split on, in the mean (1 / threshold)
 DENSE = 0.7  # a bucket with this share of its parent's sets is not split again
 _U = np.uint64
@@ -70,9 +70,9 @@ def fingerprints(s: np.ndarray, begin: np.ndarray) -> list[bytes | None]:
 
 
 def minhash(s: np.ndarray, begin: np.ndarray, n: int = COORDINATES) -> np.ndarray:
-    """``n`` MinHash values of each non-empty set, one row for each; their low 16 bits name them."""
+    """``n`` 32-bit MinHash values of each non-empty set, one row for each."""
     at = begin[:-1][np.diff(begin) > 0]
-    out = np.empty((len(at), n), dtype=np.uint16)
+    out = np.empty((len(at), n), dtype=np.uint32)
     rng = np.random.default_rng(8)
     mul = rng.integers(0, 2**63, n, dtype=np.uint64) * _U(2) + _U(1)
     add = rng.integers(0, 2**63, n, dtype=np.uint64)
@@ -82,9 +82,8 @@ def minhash(s: np.ndarray, begin: np.ndarray, n: int = COORDINATES) -> np.ndarra
 
 
 def sketch(signature: np.ndarray) -> np.ndarray:
-    """Four bits of each MinHash value, two in a byte."""
-    low = (signature & 15).astype(np.uint8)
-    return low[:, 0::2] | (low[:, 1::2] << 4)
+    """Eight bits of each MinHash value."""
+    return (signature & 255).astype(np.uint8)
 
 
 def _extend(path: np.ndarray, signature: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +100,7 @@ def _extend(path: np.ndarray, signature: np.ndarray, seed: int) -> tuple[np.ndar
 
 
 def _signatures(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype=np.uint16).reshape(len(column), COORDINATES)
+    return np.frombuffer(b"".join(column), dtype=np.uint32).reshape(len(column), COORDINATES)
 
 
 def _embed(size: int):
@@ -164,11 +163,10 @@ def _roots(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
 
 def _near_pairs(packed: np.ndarray, begin: np.ndarray, floor: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row pairs inside each bucket (rows ``begin[k]`` to ``begin[k + 1]``) that agree in ``floor`` places."""
-    low, high = packed & 15, packed >> 4
     sizes = np.diff(begin)
 
     def agree(i, j):
-        return (low[i] == low[j]).sum(axis=-1, dtype=np.int16) + (high[i] == high[j]).sum(axis=-1, dtype=np.int16)
+        return (packed[i] == packed[j]).sum(axis=-1, dtype=np.int16)
 
     for n in np.unique(sizes[(sizes > 1) & (sizes <= 64)]):
         x, y = np.triu_indices(n, 1)
@@ -358,8 +356,8 @@ def jaccard_join(
 
 def _candidates(nodes: DataFrame, threshold: float, target_recall: float, bucket: int, max_depth: int, block: int) -> DataFrame:
     """Star edges ``(a, b)`` between nodes that met in a bucket and whose sketches are near."""
-    # The share of equal four-bit places of a pair at the threshold, less 4.5 standard deviations.
-    equal = threshold + (1 - threshold) / 16
+    # The share of equal bytes of a pair at the threshold, less 4.5 standard deviations.
+    equal = threshold + (1 - threshold) / 256
     floor = int(COORDINATES * equal - 4.5 * math.sqrt(COORDINATES * equal * (1 - equal)))
     runs = runs_needed(threshold, target_recall, min(4, max_depth))
     pack = F.pandas_udf(lambda s: pd.Series([x.tobytes() for x in sketch(_signatures(s))]), "binary")
