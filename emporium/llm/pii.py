@@ -19,7 +19,18 @@ _EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-
 _IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = r"[0-9](?:[\x20-]?[0-9])++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-_IBAN = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}"
+# Characters of an IBAN by country. A blank and a capital may follow one, so the length ends it.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_LISTED = "(?:" + "|".join(c for n in _IBAN_LENGTHS.values() for c in n.split()) + ")[0-9]{2}"
+_IBAN = (
+    r"(?=[A-Z]{2}[0-9]{2})(?<![A-Za-z0-9])(?:(?:" + "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in _IBAN_LENGTHS.items())
+    + rf")(?![A-Za-z0-9])|(?!{_LISTED})[A-Z]{{2}}[0-9]{{2}}(?:(?!\x20{_LISTED})\x20?[A-Z0-9]){{11,30}})"
+)
 _SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 
 SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
@@ -37,6 +48,7 @@ class Kind:
     may not touch a span. ``score`` is raised by
     ``boost`` where a context word is near and lowered by ``doubt`` where a word
     of ``against`` is; a span stays at ``keep`` or more (base kinds always).
+    Context ends at neighbouring matches of the kind, unless ``past`` them.
     """
 
     name: str
@@ -50,6 +62,7 @@ class Kind:
     words: tuple[str, ...] = field(default=())
     against: tuple[str, ...] = field(default=())
     alone: str | None = None
+    past: bool = False
 
 
 BASE = ("email", "ip", "card", "phone")
@@ -60,7 +73,7 @@ KINDS = (
     Kind("phone", _PHONE, "+", "phone", 0.7, 0.3, 0.1, 0.0, ("phone", "call", "tel", "fax", "mobile", "whatsapp"), ("version",)),
     # Beyond the base kinds: an IBAN is proven by mod 97; a social security number needs a word nearby.
     Kind("iban", _IBAN, "", "mod97", 0.8, 0.2, 0.2, 0.5, ("iban", "bank", "account", "konto", "compte", "cuenta"), ("serial",), "[A-Za-z0-9]"),
-    Kind("ssn", _SSN, "-", "ssn", 0.3, 0.4, 0.2, 0.5, ("ssn", "social security", "sozialversicherung"), ("order", "serial", "part"), "[0-9-]"),
+    Kind("ssn", _SSN, "-", "ssn", 0.3, 0.4, 0.2, 0.5, ("ssn", "social security", "sozialversicherung"), ("order", "serial", "part"), "[0-9-]", True),
 )
 
 
@@ -138,6 +151,13 @@ def _spans(text: Column, kind: Kind) -> Column:
     kind's hint is missing or nothing matches.
     """
 
+    def context(gaps: Column, m: Column, e: Column, i: Column) -> tuple[Column, Column]:
+        if not kind.past:
+            return F.right(F.get(gaps, i), F.lit(WINDOW)), F.left(F.get(gaps, i + 1), F.lit(WINDOW))
+        start = F.get(e, i) - F.length(m)
+        low = F.greatest(start - WINDOW, F.lit(0))
+        return F.substring(text, low + 1, start - low), F.substring(text, F.get(e, i) + 1, F.lit(WINDOW))
+
     def placed(matches: Column) -> Column:
         return _let(F.split(text, kind.pattern, -1), lambda gaps: _let(ends(gaps, matches), lambda e: F.filter(
             F.transform(matches, lambda m, i: F.struct(
@@ -146,7 +166,7 @@ def _spans(text: Column, kind: Kind) -> Column:
                 F.get(e, i).alias("end"),
                 F.when(
                     _valid(kind.valid, m) & _alone(kind, F.get(gaps, i), F.get(gaps, i + 1)),
-                    _score(kind, F.right(F.get(gaps, i), F.lit(WINDOW)), F.left(F.get(gaps, i + 1), F.lit(WINDOW))),
+                    _score(kind, *context(gaps, m, e, i)),
                 ).otherwise(-1.0).alias("score"),
             )),
             lambda r: r["score"] >= kind.keep,

@@ -83,3 +83,21 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a@b.org")], "doc_id long, text string")
     plan = personal_data(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_neighbours_do_not_hide_a_span(spark):
+    texts = [
+        "DE89 3704 0044 0532 0130 00 BIC COBADEFF",
+        "GB82WEST12345698765432 Please",
+        "GB82 WEST 1234 5698 7654 32 DE89 3704 0044 0532 0130 00 17",
+        "AB12 3456 7890 123 DE89370400440532013000",  # no such country before it
+        "SSN: 123-45-6789, 078-05-1120",
+        "DE89 3704 0044 0532 0130 001",  # too long
+    ]
+    got = found(spark, texts)
+    assert got[0].every == "iban:0:27"
+    assert got[1].every == "iban:0:22"
+    assert got[2].every == "iban:0:27,iban:28:55"
+    assert got[3].every == "iban:19:41"
+    assert got[4].every == "ssn:5:16,ssn:18:29"
+    assert got[5].every == ""
