@@ -1,8 +1,8 @@
 """The whole star schema as lazily-built DataFrames over one set of raw tables.
 
-Nothing here runs a job: each attribute is a DataFrame plan, built the first
-time it is asked for, so a query that needs two relations never constructs
-the other twenty.
+Each attribute is a DataFrame plan, built the first time it is asked for, so a
+query that needs two relations never constructs the other twenty. Building one
+runs no job, except that a raw table which numbers its rows stores them.
 """
 
 from __future__ import annotations

@@ -8,9 +8,11 @@ whoever owns the session; on a cluster that is the job's own configuration.
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Runtime SQL settings the model assumes. They are session-scoped and can be
 #: set on an existing session.
@@ -46,6 +48,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, for intermediate results.
+
+    That is ``spark.checkpoint.dir``, or the folder the context was given. Where
+    neither is set, a session on one machine gets a scratch folder; on a cluster
+    this raises, because no executor would see a folder of the driver's machine.
+    """
+    context = spark.sparkContext
+    path = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not path:
+        if not re.match(r"local(\[|$)", context.master):
+            return checkpoint_dir(spark)
+        path = tempfile.mkdtemp(prefix="emporium-shared-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(path)
+    return path.rstrip("/")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    Whatever reads the result sees the same rows, however often and in whichever
+    plan, and neither a retry nor a lost executor runs ``df`` again.
+    """
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_session(
     cores: int | str = "*",
     shuffle_partitions: int = 8,

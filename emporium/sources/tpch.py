@@ -185,7 +185,7 @@ def raw_order_items(src: Mapping[str, DataFrame]) -> DataFrame:
         order=["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
         out="order_item_id",
     )
-    return numbered.selectExpr(*_ORDER_ITEMS)
+    return numbered.withColumn("order_item_id", F.col("order_item_id").cast("int")).selectExpr(*_ORDER_ITEMS)
 
 
 def raw_order_item_values(src: Mapping[str, DataFrame]) -> DataFrame:
