@@ -105,9 +105,140 @@ def _url_filter(rules) -> str:
     SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN fit USING (rid)"""
 
 
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text, bit by bit."""
+    step = "xor(acc, b)"
+    for _ in range(8):
+        step = f"list_transform([{step}], lambda x: xor(x >> 1, 3988292384 * (x & 1)))[1]"
+    return f"xor(list_reduce(list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT)), lambda acc, b: {step}, 4294967295), 4294967295)"
+
+
+def _field(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _manifest(levels: int = 12) -> str:
+    """Level by level, for up to 8 ** ``levels`` leaves of a language and as many languages."""
+    fields = " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    sql = f"""
+    WITH leaves AS (
+        SELECT doc_id, lang, sha256({fields} || {_field("text")}) AS leaf,
+            CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN sha256({fields} || {_field(lowered)}) END AS changed
+        FROM documents
+    ),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves),
+    l0 AS (SELECT lang, place, leaf AS h FROM placed),
+    v0 AS (SELECT row_number() OVER () AS rid, doc_id, lang, place, leaf, coalesce(changed, leaf) AS node, '' AS proof FROM placed),
+    """
+    for k in range(levels):
+        sql += _level(f"l{k}", f"l{k + 1}", f"v{k}", f"v{k + 1}", "lang")
+    sql += f"""
+    t0 AS (SELECT 0 AS lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, h, lang AS of FROM l{levels}),
+    u0 AS (SELECT v.* EXCLUDE (lang, place), 0 AS lang, t0.place, t0.h AS subroot FROM v{levels} v JOIN t0 ON v.lang IS NOT DISTINCT FROM t0.of),
+    """
+    for k in range(levels):
+        sql += _level(f"t{k}", f"t{k + 1}", f"u{k}", f"u{k + 1}", "lang")
+    return sql + f"""
+    done AS (SELECT u.*, t.h AS root FROM u{levels} u, t{levels} t)
+    SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, node AS folded_root, node = root AS verified FROM done"""
+
+
+def _level(low: str, high: str, versions: str, higher: str, by: str) -> str:
+    """The level above ``low``, and ``versions`` folded into it; a row of one node stays as it is."""
+    return f"""
+    {low}s AS MATERIALIZED (
+        SELECT a.*, count(*) OVER (PARTITION BY {by}) AS n,
+            coalesce(string_agg(h, '') OVER (PARTITION BY {by}, place // 8 ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lefts,
+            coalesce(string_agg(h, '') OVER (PARTITION BY {by}, place // 8 ORDER BY place ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rights
+        FROM {low} a
+    ),
+    {high} AS MATERIALIZED (
+        SELECT {by}, place // 8 AS place, CASE WHEN n = 1 THEN h ELSE sha256(lefts || h || rights) END AS h
+        FROM {low}s WHERE place % 8 = 0
+    ),
+    {higher} AS MATERIALIZED (
+        SELECT v.* REPLACE (v.place // 8 AS place, CASE WHEN n = 1 THEN node ELSE sha256(lefts || node || rights) END AS node, proof || lefts || rights AS proof)
+        FROM {versions} v JOIN {low}s s ON v.{by} IS NOT DISTINCT FROM s.{by} AND v.place = s.place
+    ),
+    """
+
+
+_MIXING = r"""
+WITH d AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+        CAST('0x' || md5(concat_ws('|', 'mix', coalesce(CAST(doc_id AS VARCHAR), '-'), coalesce(source, '-'), md5(coalesce(text, ''))))[1:13] AS BIGINT) / 4503599627370496.0 AS draw
+    FROM documents
+),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1] AS weight FROM s),
+-- a source's limit for each unit of weight, in tenths; those with less are full before it is
+x AS (SELECT *, 3 * source_size * 10 // weight AS ratio, sum(source_size) OVER () AS words, sum(weight) OVER () AS all_weight FROM w),
+y AS (
+    SELECT *, words - coalesce(sum(3 * source_size) OVER below, 0) AS rest, all_weight - coalesce(sum(weight) OVER below, 0) AS share
+    FROM x WINDOW below AS (ORDER BY ratio RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+z AS (SELECT *, 3 * source_size * share < weight * rest AS above FROM y),
+l AS (
+    SELECT max(words) - coalesce(sum(3 * source_size) FILTER (above), 0) AS rest, sum(weight) FILTER (NOT above) AS share FROM z
+),
+t AS (
+    SELECT source, source_size, CAST(weight AS BIGINT) AS weight,
+        CASE WHEN above THEN CAST(3 * source_size AS DOUBLE) ELSE CAST(weight * l.rest AS DOUBLE) / l.share END AS target
+    FROM z, l
+),
+r AS (SELECT *, CASE WHEN source_size > 0 THEN least(target / source_size, 3.0) ELSE 0.0 END AS rate FROM t),
+c AS (
+    SELECT d.doc_id, d.size, r.*, CAST(floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) AS copies
+    FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
+)
+SELECT doc_id, size, source_size, target, size * copies AS taken, source, weight, rate, copies FROM c
+"""
+
+_FILTER_AUDIT = r"""
+WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY t) AS least FROM t),
+lab AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+        concat(CASE WHEN len(words) < 50 THEN 'A' END, CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' END,
+            CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t) THEN 'C' END,
+            CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END, CASE WHEN least < w.doc_id THEN 'E' END) AS fails
+    FROM w LEFT JOIN lab ON w.doc_id = lab.doc_id
+),
+c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, fails),
+f(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+),
+s AS (SELECT filter_order, CAST(i AS INT) AS step, filter_order[i] AS own, filter_order[1:i - 1] AS before FROM o, range(1, 6) AS r(i)),
+x AS (
+    SELECT c.*, s.*, contains(fails, own) AS failing,
+        len(list_intersect(string_split(fails, ''), string_split(before, ''))) > 0 AND fails <> '' AND before <> '' AS gone
+    FROM c, s
+),
+y AS (
+    SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT gone AND NOT failing), 0) AS kept,
+        coalesce(sum(n) FILTER (NOT gone AND failing), 0) AS removed, coalesce(sum(n) FILTER (gone AND failing), 0) AS redundant,
+        coalesce(sum(n) FILTER (fails = own), 0) AS unique_fails,
+        coalesce(sum(good) FILTER (NOT gone AND failing), 0) AS good_lost, coalesce(sum(toxic) FILTER (NOT gone AND failing), 0) AS toxic_lost
+    FROM x GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+    CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+    CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM y
+"""
+
+
 def statements(url_rules) -> dict[str, str]:
     return {
         "op4_personal_data": _personal_data(),
         "op7_quality_rules": _QUALITY,
         "op9_url_filter": _url_filter(url_rules),
+        "op11_merkle_manifest": _manifest(),
+        "op12_mixing": _MIXING,
+        "op13_filter_audit": _FILTER_AUDIT,
     }

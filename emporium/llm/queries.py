@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 import uuid
 from collections.abc import Callable
 
@@ -12,9 +13,12 @@ from pyspark.sql import functions as F
 from emporium.llm import oracles
 from emporium.llm.common import shared_dir
 from emporium.llm.decontaminate import contamination
+from emporium.llm.filter_audit import audit as audit_filters
 from emporium.llm.fixity import audit, read_archive, record_id, warc_record, write_archive
 from emporium.llm.jaccard_join import jaccard_join
 from emporium.llm.language_id import identify
+from emporium.llm.manifest import manifest
+from emporium.llm.mixing import taken
 from emporium.llm.packing import pack
 from emporium.llm.passages import repeated_passages
 from emporium.llm.pii import BASE, joined, n_spans, personal_data
@@ -94,6 +98,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of ``documents``, and versions of it in which a document's text has lost its capitals (A-Z)."""
+    docs = _table(spark, sf_dir, "documents")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    versions = manifest(docs, {"text": lowered}, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0)
+    return versions.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken(_table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(spark, f"{sf_dir.rstrip('/')}/documents.parquet", _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -106,6 +126,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
         "op9_url_filter": op9_url_filter,
         "op10_language_id": op10_language_id,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_mixing": op12_mixing,
+        "op13_filter_audit": op13_filter_audit,
     }
 
 
