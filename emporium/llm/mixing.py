@@ -83,30 +83,51 @@ def targets(sources: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int =
     return weighed.withColumn("target", target).withColumn("rate", rate)
 
 
-def copies(rate: Column, drawn: Column) -> Column:
-    """``floor(rate)``, and one more where the draw is under the fraction."""
-    return (F.floor(rate) + F.when(drawn < rate - F.floor(rate), 1).otherwise(0)).cast("long")
+def copies(rate: Column, drawn: Column, turn: Column) -> Column:
+    """``floor(rate)``, and one more where the draw, moved on by ``turn`` around the unit interval, is under the fraction."""
+    moved = drawn + turn
+    return (F.floor(rate) + F.when(moved - F.floor(moved) < rate - F.floor(rate), 1).otherwise(0)).cast("long")
 
 
 def _with_targets(rows: DataFrame, plan: DataFrame, source: Column) -> DataFrame:
     """``rows`` with the columns of their source's target as ``_mix``; the table is broadcast if it is proven small."""
-    side = plan.select(F.col("source").alias("_mix_source"), F.struct("source_size", "weight", "target", "rate").alias("_mix"))
+    side = plan.select(F.col("source").alias("_mix_source"), F.struct(*[c for c in plan.columns if c != "source"]).alias("_mix"))
     if plan.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         side = F.broadcast(side)
     return rows.join(side, source.eqNullSafe(F.col("_mix_source"))).drop("_mix_source")
 
 
-def _planned(docs: DataFrame, weights: Sequence[int], most: int, seed: str) -> tuple[DataFrame, DataFrame]:
+def _turned(rows: DataFrame, plan: DataFrame, turns: int) -> DataFrame:
+    """``plan`` with ``turn``: of ``turns`` seeds for each source, the one whose words come nearest to the target.
+
+    A few long documents can carry a source's draws far from the mean. Every
+    turn of the draws by a multiple of ``1 / turns`` is a seed of its own, under
+    which each document's copy still has its probability; all are summed in one pass.
+    """
+    tried = [F.lit(k / turns) for k in range(turns)]
+    planned = _with_targets(rows, plan.select("source", "target", "rate"), F.col("source"))
+    sums = planned.groupBy("source").agg(
+        F.first("_mix.target").alias("target"),
+        *[F.sum(F.col("size") * copies(F.col("_mix.rate"), F.col("draw"), turn)).alias(f"t{k}") for k, turn in enumerate(tried)],
+    )
+    away = [F.struct(F.abs(F.col(f"t{k}") - F.col("target")).alias("away"), turn.alias("turn")) for k, turn in enumerate(tried)]
+    best = sums.select(F.col("source").alias("_of"), F.array_min(F.array(*away))["turn"].alias("turn"))
+    return stored(plan.join(best, F.col("source").eqNullSafe(F.col("_of"))).drop("_of"), "rates")
+
+
+def _planned(docs: DataFrame, weights: Sequence[int], most: int, seed: str, turns: int) -> tuple[DataFrame, DataFrame]:
     rows = stored(sized(docs, seed), "sized")
-    return rows, targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
+    plan = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
+    return rows, _turned(rows, plan, turns)
 
 
-def taken(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3, seed: str = "mix") -> DataFrame:
-    """``doc_id, size, source_size, target, taken, source, weight, rate, copies`` of every row of ``docs``.
+def taken(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3, seed: str = "mix", turns: int = 16) -> DataFrame:
+    """``doc_id, size, source_size, target, taken, source, weight, rate, turn, copies`` of every row of ``docs``.
 
     Needs ``doc_id, source, text``; other columns, whatever their names, are not
     read. ``taken`` is the document's words times its copies. A null source is a
-    source of its own, the last. A null or empty text has size 0 and the copies
+    source of its own, the last. Of ``turns`` seeds each source has the one that
+    comes nearest to its target. A null or empty text has size 0 and the copies
     of its source's rate. Equal rows (doc_id, source and text) draw alike, rows
     that share an id alone do not; a null doc_id is drawn for by its text. An
     empty table gives no rows. Long texts are counted whole. Texts are read
@@ -114,15 +135,15 @@ def taken(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3, se
     its own tasks only. SQL functions throughout: sums are combined before they
     are shuffled, so a source with most of the rows is no hot key.
     """
-    rows, plan = _planned(docs, weights, most, seed)
-    out = _with_targets(rows, plan, F.col("source")).withColumn("copies", copies(F.col("_mix.rate"), F.col("draw")))
+    rows, plan = _planned(docs, weights, most, seed, turns)
+    out = _with_targets(rows, plan, F.col("source")).withColumn("copies", copies(F.col("_mix.rate"), F.col("draw"), F.col("_mix.turn")))
     return out.select(
         "doc_id", "size", "_mix.source_size", "_mix.target", (F.col("size") * F.col("copies")).alias("taken"),
-        "source", "_mix.weight", "_mix.rate", "copies",
+        "source", "_mix.weight", "_mix.rate", "_mix.turn", "copies",
     )
 
 
-def mixture(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3, seed: str = "mix", copy: str = "copy") -> DataFrame:
+def mixture(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3, seed: str = "mix", turns: int = 16, copy: str = "copy") -> DataFrame:
     """The mixed table: all columns of ``docs``, each row as often as its draw says, numbered by ``copy`` from 1.
 
     The copies are those of :func:`taken`. Texts are read a second time, and
@@ -130,7 +151,7 @@ def mixture(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3,
     """
     if {copy, "_mix", "_mix_source"} & set(docs.columns):
         raise ValueError(f"{copy}, _mix and _mix_source must not be columns of the documents")
-    _, plan = _planned(docs, weights, most, seed)
+    _, plan = _planned(docs, weights, most, seed, turns)
     drawn = draw(seed, docs["doc_id"], docs["source"], F.md5(F.coalesce(docs["text"], F.lit(""))))
-    out = _with_targets(docs, plan, docs["source"]).withColumn("_mix", copies(F.col("_mix.rate"), drawn))
+    out = _with_targets(docs, plan, docs["source"]).withColumn("_mix", copies(F.col("_mix.rate"), drawn, F.col("_mix.turn")))
     return out.where("_mix > 0").withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("_mix").cast("int")))).drop("_mix")

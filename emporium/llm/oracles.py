@@ -189,11 +189,17 @@ t AS (
     FROM z, l
 ),
 r AS (SELECT *, CASE WHEN source_size > 0 THEN least(target / source_size, 3.0) ELSE 0.0 END AS rate FROM t),
-c AS (
-    SELECT d.doc_id, d.size, r.*, CAST(floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) AS copies
-    FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
+k AS (
+    SELECT d.doc_id, d.size, r.*, i / 16.0 AS turn,
+        CAST(floor(rate) + CASE WHEN draw + i / 16.0 - floor(draw + i / 16.0) < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) AS copies
+    FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source, range(16) AS x(i)
+),
+b AS (
+    SELECT source, arg_min(turn, [away, turn]) AS turn
+    FROM (SELECT source, turn, abs(CAST(sum(size * copies) AS BIGINT) - any_value(target)) AS away FROM k GROUP BY source, turn) GROUP BY source
 )
-SELECT doc_id, size, source_size, target, size * copies AS taken, source, weight, rate, copies FROM c
+SELECT doc_id, size, source_size, target, size * copies AS taken, k.source, weight, rate, CAST(k.turn AS DOUBLE) AS turn, copies
+FROM k JOIN b ON k.source IS NOT DISTINCT FROM b.source AND k.turn = b.turn
 """
 
 _FILTER_AUDIT = r"""
