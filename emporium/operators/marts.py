@@ -106,8 +106,12 @@ def fct_order_items(
     stg_orders: DataFrame,
     dim_products_df: DataFrame,
     dim_sellers_df: DataFrame,
+    orders_proven: bool = False,
 ) -> DataFrame:
-    """One row per item row; the item number is left out where the input has none."""
+    """One row per item row; the item number is left out where the input has none.
+
+    ``orders_proven``: no order repeats, which has been made sure of before.
+    """
     orders = stg_orders.select(
         "order_id",
         "customer_id",
@@ -118,7 +122,10 @@ def fct_order_items(
     )
     products = dim_products_df.select("product_id", "product_category_name_english")
     sellers = dim_sellers_df.select("seller_id", "seller_state")
-    joined = guarded_join(stg_order_items, orders, "order_id", label="items to orders")
+    if orders_proven:
+        joined = stg_order_items.join(orders, "order_id", "left")
+    else:
+        joined = guarded_join(stg_order_items, orders, "order_id", label="items to orders")
     joined = guarded_join(joined, products, "product_id", label="items to products")
     joined = guarded_join(joined, sellers, "seller_id", label="items to sellers")
     enriched = joined.withColumn("item_total_value", money(F.col("item_price") + F.col("freight_value")))
@@ -192,6 +199,7 @@ def fct_orders(
     stg_order_items: DataFrame,
     stg_order_payments: DataFrame,
     stg_order_reviews: DataFrame,
+    orders_proven: bool = False,
 ) -> DataFrame:
     """One row per order with commercial, payment, review and delivery measures.
 
@@ -201,9 +209,11 @@ def fct_orders(
     evaluable) unless the order is delivered and both dates are known.
     """
     # The three right sides are unique on order_id by construction (grouped
-    # on it); the orders are checked here, so every join is one to one.
+    # on it); the orders are checked here unless they have been before, so
+    # every join is one to one.
+    orders = stg_orders if orders_proven else require_unique(stg_orders, ["order_id"], "orders")
     joined = (
-        require_unique(stg_orders, ["order_id"], "orders").join(order_item_metrics(stg_order_items), "order_id", "left")
+        orders.join(order_item_metrics(stg_order_items), "order_id", "left")
         .join(order_payment_metrics(stg_order_payments), "order_id", "left")
         .join(order_review_metrics(stg_order_reviews), "order_id", "left")
     )

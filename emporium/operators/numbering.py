@@ -25,7 +25,7 @@ _PARTITION_BITS = 33  # monotonically_increasing_id keeps the partition index ab
 def number_within(df: DataFrame, key: str, order: Sequence[str], out: str, partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based position (bigint) of each row within ``key`` ordered by ``order``, NULLs first.
 
-    Rows that tie in ``order`` are numbered by their other columns. ``df`` is
+    Rows that tie in ``order`` are numbered by their other columns (a hash of them first). ``df`` is
     shuffled into ``partitions`` ranges (default: the session's shuffle
     partitions) and written to the shared folder when this is called. The join
     is on the partition and the key, so a key that spans partitions stays
@@ -33,12 +33,16 @@ def number_within(df: DataFrame, key: str, order: Sequence[str], out: str, parti
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rest = [c for c in df.columns if c != key and c not in order]
-    # Sorted on every column, so equal rows alone can change places.
-    sort_cols: list[Column] = [F.col(c).asc_nulls_first() for c in [key, *order, *rest]]
+    # Sorted on every column, so equal rows alone can change places. The ranges
+    # themselves are cut by key, order and a hash of the rest: the bounds that
+    # the driver samples stay narrow, and rows that tie in order still spread.
+    ranges: list[Column] = [F.col(c).asc_nulls_first() for c in [key, *order]]
+    if rest:
+        ranges.append(F.xxhash64(*rest).asc())
     place = F.monotonically_increasing_id()
     ranged = stored(
-        df.repartitionByRange(n, *sort_cols)
-        .sortWithinPartitions(*sort_cols)
+        df.repartitionByRange(n, *ranges)
+        .sortWithinPartitions(*ranges, *[F.col(c).asc_nulls_first() for c in rest])
         .withColumn("_place", place)
         .withColumn("_part", F.shiftright(F.col("_place"), _PARTITION_BITS).cast("int")),
         "ranged",

@@ -48,12 +48,17 @@ def delivery_bucket(delay: Column) -> Column:
     return expr.otherwise(F.lit(LATE_BUCKET))
 
 
+def order_count(model, order_id: Column | str = "order_id") -> Column:
+    """The orders among rows of order grain: a plain count where an order is one row, so that no order key is shuffled."""
+    return F.count(order_id) if model.unique_orders else F.count_distinct(order_id)
+
+
 # Q-01
 def kpis(model) -> DataFrame:
     """One row: revenue, freight, orders, customers, review, on-time rate, AOV."""
     som = model.semantic_order_metrics
     revenue = F.round(F.sum("merchandise_revenue"), 2)
-    orders = F.count_distinct("order_id")
+    orders = order_count(model)
     return som.agg(
         revenue.cast(MONEY_TOTAL).alias("merchandise_revenue"),
         money_total("freight_revenue").alias("freight_revenue"),
@@ -103,7 +108,7 @@ def state_performance(model) -> DataFrame:
         som.groupBy(F.col("customer_state").alias("state"))
         .agg(
             money_total("merchandise_revenue").alias("merchandise_revenue"),
-            F.count_distinct("order_id").alias("orders"),
+            order_count(model).alias("orders"),
             F.round(F.avg("on_time_delivery_flag"), 4).alias("on_time_delivery_rate"),
             review_mean().alias("average_review_score"),
         )
@@ -152,7 +157,7 @@ def monthly_orders(model) -> DataFrame:
     som = model.semantic_order_metrics
     return (
         som.groupBy("purchase_month")
-        .agg(money_total("merchandise_revenue").alias("merchandise_revenue"), F.count_distinct("order_id").alias("orders"))
+        .agg(money_total("merchandise_revenue").alias("merchandise_revenue"), order_count(model).alias("orders"))
         .select(month_label("purchase_month").alias("purchase_month"), "merchandise_revenue", "orders")
     )
 
@@ -198,7 +203,7 @@ def seller_state_contribution(model) -> DataFrame:
 def on_time_by_state(model) -> DataFrame:
     som = model.semantic_order_metrics
     return som.groupBy("customer_state").agg(
-        F.count_distinct(F.when(F.col("on_time_delivery_flag").isNotNull(), F.col("order_id"))).alias(
+        order_count(model, F.when(F.col("on_time_delivery_flag").isNotNull(), F.col("order_id"))).alias(
             "evaluable_orders"
         ),
         F.round(F.avg("on_time_delivery_flag"), 4).alias("on_time_delivery_rate"),
@@ -240,3 +245,90 @@ def dim_date(model) -> DataFrame:
         date_label("date").alias("date_label"),
         month_start("date").alias("month_start"),
     )
+
+
+# --- repeat customers and distributions --------------------------------------
+
+
+def _orders_per_person(model) -> DataFrame:
+    """``customer_unique_id, orders, merchandise_revenue``: one row for each known person.
+
+    The first of two levels: orders are counted by person, combined map-side, so
+    a person with a third of all orders is a row for each task.
+    """
+    som = model.semantic_order_metrics.where(F.col("customer_unique_id").isNotNull())
+    return som.groupBy("customer_unique_id").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("merchandise_revenue").alias("revenue")
+    )
+
+
+def orders_per_customer(model) -> DataFrame:
+    """How many people have placed how many orders, and what share of people, orders and revenue that is.
+
+    Orders without a known person are left out. A person's ``customer_id`` rows
+    count together.
+    """
+    per_count = _orders_per_person(model).groupBy(F.col("orders").alias("orders_per_customer")).agg(
+        F.count(F.lit(1)).alias("customers"), F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue")
+    )
+    # One row for each number of orders: few, as their sum is at most the orders.
+    every = Window.partitionBy()
+
+    def share(c: str) -> Column:
+        return F.round(F.col(c).cast("double") / F.nullif(F.sum(c).over(every).cast("double"), F.lit(0.0)), 4)
+
+    return per_count.select(
+        "orders_per_customer", "customers", "orders", F.round("revenue", 2).cast(MONEY_TOTAL).alias("merchandise_revenue"),
+        share("customers").alias("customer_share"), share("orders").alias("order_share"), share("revenue").alias("revenue_share"),
+    )
+
+
+def repeat_customers(model) -> DataFrame:
+    """One row: people, those with more than one order, their share, and their share of orders and revenue."""
+    repeat = F.col("orders") > 1
+    customers, orders, revenue = F.count(F.lit(1)), F.sum("orders"), F.sum("revenue")
+    again = F.sum(F.when(repeat, F.col("revenue")))
+    return _orders_per_person(model).agg(
+        customers.alias("customers"),
+        F.count_if(repeat).alias("repeat_customers"),
+        F.round(safe_ratio(F.count_if(repeat).cast("double"), customers), 4).alias("repeat_share"),
+        F.round(safe_ratio(orders.cast("double"), customers), 4).alias("orders_per_customer"),
+        F.max("orders").alias("most_orders"),
+        F.round(safe_ratio(F.sum(F.when(repeat, F.col("orders"))).cast("double"), orders), 4).alias("repeat_order_share"),
+        F.round(safe_ratio(again.cast("double"), revenue.cast("double")), 4).alias("repeat_revenue_share"),
+    )
+
+
+def repeat_interval(model) -> DataFrame:
+    """``months_between, customers``: how many calendar months pass between people's first and second month with an order.
+
+    Months, not orders, are ranked: a person has few, whatever they order.
+    """
+    som = model.semantic_order_metrics.where(F.col("customer_unique_id").isNotNull() & F.col("purchase_month").isNotNull())
+    months = som.groupBy("customer_unique_id").agg(F.array_sort(F.collect_set("purchase_month")).alias("months"))
+    first, second = F.col("months")[0], F.get("months", F.lit(1))
+    between = ((F.year(second) - F.year(first)) * 12 + F.month(second) - F.month(first)).alias("months_between")
+    return months.where(F.size("months") > 1).groupBy(between).agg(F.count(F.lit(1)).alias("customers"))
+
+
+def review_distribution(model) -> DataFrame:
+    """``review_score, reviews, orders, review_share``; reviews without a score are a row of their own."""
+    every = Window.partitionBy()
+    scores = model.stg_order_reviews.groupBy("review_score").agg(
+        F.count(F.lit(1)).alias("reviews"), F.count_distinct("order_id").alias("orders")
+    )
+    return scores.withColumn("review_share", F.round(F.col("reviews") / F.sum("reviews").over(every), 4))
+
+
+def payment_distribution(model) -> DataFrame:
+    """``payment_type, payments, orders, payment_value, value_share, average_installments``; a NULL type is a row."""
+    every = Window.partitionBy()
+    types = model.stg_order_payments.groupBy("payment_type").agg(
+        F.count(F.lit(1)).alias("payments"), F.count_distinct("order_id").alias("orders"), F.sum("payment_value").alias("value"),
+        F.round(F.avg("payment_installments"), 4).alias("average_installments"),
+    )
+    share = F.col("value").cast("double") / F.nullif(F.sum("value").over(every).cast("double"), F.lit(0.0))
+    return types.select(
+        "payment_type", "payments", "orders", F.round("value", 2).cast(MONEY_TOTAL).alias("payment_value"),
+        F.round(share, 4).alias("value_share"), "average_installments",
+    )

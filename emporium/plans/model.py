@@ -30,8 +30,15 @@ class Model:
     )
     SEMANTIC = ("semantic_order_metrics", "semantic_product_metrics")
 
-    def __init__(self, raw: Mapping[str, DataFrame]):
+    def __init__(self, raw: Mapping[str, DataFrame], orders_proven: bool = False):
+        """``orders_proven`` says that no order repeats in ``raw``, so the facts need not make sure."""
         self.raw = raw
+        self.orders_proven = orders_proven
+
+    @property
+    def unique_orders(self) -> bool:
+        """Whether an order is one row of ``fct_orders``: here that fact itself raises if one repeats."""
+        return True
 
     @property
     def spark(self) -> SparkSession:
@@ -109,7 +116,7 @@ class Model:
     @cached_property
     def fct_order_items(self) -> DataFrame:
         return marts.fct_order_items(
-            self.stg_order_items, self.stg_orders, self.dim_products, self.dim_sellers
+            self.stg_order_items, self.stg_orders, self.dim_products, self.dim_sellers, self.orders_proven
         )
 
     @cached_property
@@ -118,7 +125,7 @@ class Model:
         if "fct_order_items" in self.__dict__:
             return self.fct_order_items.drop("order_item_id")
         return marts.fct_order_items(
-            self.stg_order_item_values, self.stg_orders, self.dim_products, self.dim_sellers
+            self.stg_order_item_values, self.stg_orders, self.dim_products, self.dim_sellers, self.orders_proven
         )
 
     @cached_property
@@ -129,6 +136,7 @@ class Model:
             self.stg_order_item_values,
             self.stg_order_payments,
             self.stg_order_reviews,
+            self.orders_proven,
         )
 
     # semantic views

@@ -7,6 +7,8 @@ explicitly, because ``collect_list`` keeps no order.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,14 +56,23 @@ def metric_snapshot(model, states: int = 8) -> DataFrame:
     return one.select(F.to_json(F.struct(*one.columns), JSON_OPTIONS).alias("snapshot"))
 
 
-def quality_report(checks: DataFrame) -> DataFrame:
-    """One row, column ``report``: verdict fields plus the ordered check list."""
-    verdict = quality.verdict(checks)
-    listed = checks.agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("check_order", *quality.RESULT_COLUMNS))),
-            lambda c: c.dropFields("check_order"),
-        ).alias("checks")
-    )
-    one = verdict.crossJoin(listed)
+def _listed(checks: DataFrame, name: str) -> DataFrame:
+    """One row, one column: the check rows in their order."""
+    rows = F.sort_array(F.collect_list(F.struct("check_order", *quality.RESULT_COLUMNS)))
+    return checks.agg(F.transform(rows, lambda c: c.dropFields("check_order")).alias(name))
+
+
+def quality_report(checks: DataFrame, **more: DataFrame) -> DataFrame:
+    """One row, column ``report``: the verdict fields of ``checks`` and their ordered list.
+
+    ``more`` names further check rows that the gate judges: each is listed
+    under its name, and ``gate`` is the verdict over all of them together, so a
+    gate that has failed is explained by the report.
+    """
+    one = quality.verdict(checks).crossJoin(_listed(checks, "checks"))
+    if more:
+        judged = reduce(DataFrame.unionByName, [c.select(*quality.RESULT_COLUMNS) for c in (checks, *more.values())])
+        for name, rows in more.items():
+            one = one.crossJoin(_listed(rows, name))
+        one = one.crossJoin(quality.verdict(judged).select(F.struct("*").alias("gate")))
     return one.select(F.to_json(F.struct(*one.columns), JSON_OPTIONS).alias("report"))

@@ -13,8 +13,10 @@ large share of the items would make one bucket (and its writer) hot.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
@@ -25,7 +27,7 @@ from ..operators.staging import STAGING, staging_sql
 from ..sources import bronze
 from ..sources.catalog import RAW_TABLES
 from ..sources.tables import LazyTables
-from . import sinks, snapshot
+from . import proofs, sinks, snapshot
 from .model import Model
 
 # Table and column descriptions stored with the published tables.
@@ -116,7 +118,10 @@ def build(
             if name in raw
         }
     )
-    model = Model(landed)
+    # One count of the order keys, which both facts and later the reports rely on.
+    build_id = uuid.uuid4().hex
+    orders = proofs.prove_unique(landed["orders"], ["order_id"], "orders")
+    model = Model(landed, orders_proven=True)
 
     # silver: staging as persistent views over bronze
     tables: dict[str, str] = {}
@@ -144,6 +149,7 @@ def build(
             description=TABLE_DESCRIPTIONS[name],
             column_descriptions=COLUMN_DESCRIPTIONS,
         )
+    proofs.record(spark, tables["fct_orders"], "order_id", build_id, orders)
     stored = Model(landed)
     for name in DIMENSIONS + FACTS:
         stored.__dict__[name] = spark.table(tables[name])  # read back: cut lineage to the raw inputs
@@ -159,17 +165,23 @@ def build(
         )
 
     # quality reports, written before the gate
+    keys = quality.KeyTables(stored, keep=True)
     checks, column_tests, coerced = (
         spark.table(sinks.write_table(rows, f"{layers.gold}.{name}"))
         for name, rows in (
-            ("quality_checks", quality.quality_checks(stored)),
-            ("column_tests", quality.column_tests(stored)),
+            ("quality_checks", quality.quality_checks(stored, keys)),
+            ("column_tests", quality.column_tests(stored, keys=keys)),
             ("coercion_checks", quality.coercion_checks(stored)),
         )
     )
+    sinks.write_table(
+        quality.invalid_statuses(stored.fct_orders), f"{layers.gold}.invalid_statuses",
+        description="Order statuses outside the known eight, with their orders.",
+    )
     verdict = quality.verdict(checks.unionByName(column_tests).unionByName(coerced)).first()
     if report_path:
-        sinks.write_document(snapshot.quality_report(checks), report_path)
+        report = snapshot.quality_report(checks, column_tests=column_tests, coercion_checks=coerced)
+        sinks.write_document(report, report_path)
     if snapshot_path:
         sinks.write_document(snapshot.metric_snapshot(stored), snapshot_path)
 
@@ -182,13 +194,26 @@ def build(
     return result
 
 
+class PublishedModel(Model):
+    """A model whose marts are published tables; an order is one row if the build has proven it and nothing has changed since."""
+
+    @property
+    def spark(self) -> SparkSession:
+        return self.fct_orders.sparkSession
+
+    @cached_property
+    def unique_orders(self) -> bool:
+        return proofs.holds(self.spark, self.orders_table, "order_id")
+
+
 def published_model(spark: SparkSession, layers: Layers = Layers()) -> Model:
     """A model whose marts and semantic views are the published tables."""
     from ..sources.sql import require_tables
 
     gold = [f"{layers.gold}.{n}" for n in DIMENSIONS + FACTS]
     require_tables(spark, gold)
-    m = Model(LazyTables({}))
+    m = PublishedModel(LazyTables({}))
+    m.orders_table = f"{layers.gold}.fct_orders"
     for name in DIMENSIONS + FACTS:
         m.__dict__[name] = spark.table(f"{layers.gold}.{name}")
     return m
