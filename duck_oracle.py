@@ -720,6 +720,93 @@ SELECT 'non_negative_price', CAST(count_if(NOT coalesce(item_price >= 0, false))
 }
 
 
+# --- repeat customers, distributions, monitoring, incremental load, access ----
+
+_PER_PERSON = """(SELECT customer_unique_id, count(*) AS orders, sum(merchandise_revenue) AS revenue
+      FROM semantic_order_metrics WHERE customer_unique_id IS NOT NULL GROUP BY customer_unique_id)"""
+_PER_COUNT = f"""(SELECT orders AS orders_per_customer, count(*) AS customers, sum(orders) AS orders, sum(revenue) AS revenue
+      FROM {_PER_PERSON} GROUP BY orders)"""
+
+
+def _share(x: str) -> str:
+    return spark_round(f"CAST({x} AS DOUBLE) / NULLIF(CAST(sum({x}) OVER () AS DOUBLE), 0)", 4)
+
+
+# The monitored tables, their timestamps and the age in days up to which they are fresh.
+_MONITORED = (
+    ("stg_orders", "stg_orders", "order_purchase_timestamp", 2),
+    ("stg_order_item_values", "stg_order_items", "shipping_limit_date", 30),
+    ("stg_order_reviews", "stg_order_reviews", "review_creation_timestamp", 2),
+)
+
+_DAYS = " UNION ALL ".join(
+    f"""SELECT '{label}' AS "table", CAST(d AS DATE) AS day, coalesce(n, 0) AS n FROM
+    (SELECT unnest(generate_series(min(CAST({ts} AS DATE)), max(CAST({ts} AS DATE)), INTERVAL 1 DAY)) AS d FROM {table}) AS days_{i}
+    LEFT JOIN (SELECT CAST({ts} AS DATE) AS day, count(*) AS n FROM {table} GROUP BY 1) AS counts_{i} ON day = CAST(d AS DATE)"""
+    for i, (label, table, ts, _) in enumerate(_MONITORED)
+)
+_POLICY = """(SELECT 'manager ' || lower(r_name) AS role, r_name AS value FROM region
+      UNION ALL SELECT 'manager', r_name FROM region)"""
+_MASKED = "sha256('12:example salt' || customer_unique_id)"
+
+EXTENSIONS: dict[str, str] = {
+    "orders_per_customer": f"""
+SELECT orders_per_customer, customers, CAST(orders AS BIGINT) AS orders, CAST(revenue AS DECIMAL(38,2)) AS merchandise_revenue,
+       {_share('customers')} AS customer_share, {_share('orders')} AS order_share, {_share('revenue')} AS revenue_share
+FROM {_PER_COUNT}""",
+    "repeat_customers": f"""
+SELECT count(*) AS customers, count(*) FILTER (orders > 1) AS repeat_customers,
+       {spark_round('CAST(count(*) FILTER (orders > 1) AS DOUBLE) / NULLIF(count(*), 0)', 4)} AS repeat_share,
+       {spark_round('CAST(sum(orders) AS DOUBLE) / NULLIF(count(*), 0)', 4)} AS orders_per_customer,
+       max(orders) AS most_orders,
+       {spark_round('CAST(sum(orders) FILTER (orders > 1) AS DOUBLE) / NULLIF(sum(orders), 0)', 4)} AS repeat_order_share,
+       {spark_round('CAST(sum(revenue) FILTER (orders > 1) AS DOUBLE) / NULLIF(CAST(sum(revenue) AS DOUBLE), 0)', 4)} AS repeat_revenue_share
+FROM {_PER_PERSON}""",
+    "repeat_interval": """
+SELECT CAST(date_diff('month', first, second) AS INTEGER) AS months_between, count(*) AS customers
+FROM (SELECT customer_unique_id, min(purchase_month) AS first, min(purchase_month) FILTER (place = 2) AS second
+      FROM (SELECT customer_unique_id, purchase_month, dense_rank() OVER (PARTITION BY customer_unique_id ORDER BY purchase_month) AS place
+            FROM semantic_order_metrics WHERE customer_unique_id IS NOT NULL AND purchase_month IS NOT NULL) AS ranked
+      GROUP BY customer_unique_id) AS people
+WHERE second IS NOT NULL GROUP BY 1""",
+    "review_distribution": f"""
+SELECT review_score, count(*) AS reviews, count(DISTINCT order_id) AS orders,
+       {spark_round('CAST(count(*) AS DOUBLE) / sum(count(*)) OVER ()', 4)} AS review_share
+FROM stg_order_reviews GROUP BY review_score""",
+    "payment_distribution": f"""
+SELECT payment_type, count(*) AS payments, count(DISTINCT order_id) AS orders,
+       CAST(sum(payment_value) AS DECIMAL(38,2)) AS payment_value,
+       {spark_round('CAST(sum(payment_value) AS DOUBLE) / CAST(sum(sum(payment_value)) OVER () AS DOUBLE)', 4)} AS value_share,
+       {rounded_mean('payment_installments', 4)} AS average_installments
+FROM stg_order_payments GROUP BY payment_type""",
+    "freshness": """
+SELECT *, CAST(date_diff('day', latest, as_of) AS INTEGER) AS age_days, coalesce(date_diff('day', latest, as_of) <= max_age_days, false) AS fresh
+FROM (SELECT *, max(latest) OVER () AS as_of FROM (""" + " UNION ALL ".join(
+        f"""SELECT '{label}' AS "table", count(*) AS rows, CAST(max({ts}) AS DATE) AS latest, {age} AS max_age_days FROM {table}"""
+        for label, table, ts, age in _MONITORED
+    ) + ") AS seen) AS dated",
+    "volume_anomalies": f"""
+SELECT "table", day, n AS rows, history_days, {spark_round('mean', 4)} AS trailing_mean, {spark_round('ratio', 4)} AS ratio,
+       CASE WHEN history_days >= 7 AND ratio < 0.5 THEN 'low' WHEN history_days >= 7 AND ratio > 2 THEN 'high' END AS anomaly
+FROM (SELECT *, n / NULLIF(mean, 0) AS ratio FROM (
+    SELECT "table", day, n, count(*) OVER before AS history_days, CAST(sum(n) OVER before AS DOUBLE) / count(*) OVER before AS mean
+    FROM ({_DAYS}) AS days
+    WINDOW before AS (PARTITION BY "table" ORDER BY day RANGE BETWEEN INTERVAL 28 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)
+) AS framed) AS judged""",
+    "events_latest": """
+SELECT user_id, event_type, event_id, ts, value, props FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id, event_type
+        ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST, value DESC NULLS LAST, props DESC NULLS LAST) AS place FROM events
+) AS ranked WHERE place = 1""",
+    "restricted_order_metrics": f"""
+SELECT * REPLACE ({_MASKED} AS customer_unique_id) FROM semantic_order_metrics
+WHERE customer_state IN (SELECT value FROM {_POLICY} AS policy WHERE role = 'manager asia')""",
+    "orders_visible_by_role": f"""
+SELECT role, count(*) AS orders, count(DISTINCT {_MASKED}) AS customers, {money_total('merchandise_revenue')} AS merchandise_revenue
+FROM semantic_order_metrics JOIN {_POLICY} AS policy ON customer_state = value GROUP BY role""",
+}
+
+
 TABLES = [
     "raw_orders", "raw_order_items", "raw_order_payments", "raw_order_reviews", "raw_customers",
     "raw_products", "raw_sellers", "raw_geolocation", "raw_category_translation",
@@ -734,6 +821,6 @@ def statements() -> dict[str, str]:
     """Query name -> DuckDB statement."""
     out = {t: with_ctes(f"SELECT * FROM {t}") for t in TABLES}
     out.update({f"{t}_from_text": out[t] for t in TABLES if t.startswith("stg_")})
-    for group in (REPORTS, METRICS, QUALITY):
+    for group in (REPORTS, METRICS, QUALITY, EXTENSIONS):
         out.update({k: with_ctes(v) for k, v in group.items()})
     return out
