@@ -83,6 +83,48 @@ FROM b
 """
 
 
+def _shingles(table: str, id_: str, short: bool = False) -> str:
+    """``rid, id, sh``: the distinct five-word shingles of every row; with ``short`` a shorter text is one shingle."""
+    words = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+')"
+    least = "1" if short else "5"
+    return f"""
+    SELECT DISTINCT rid, {id_} AS id, array_to_string(w[i:i + 4], ' ') AS sh
+    FROM (SELECT rid, {id_}, {words} AS w FROM {table}), unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS r(i)
+    WHERE len(w) >= {least}"""
+
+
+_CONTAMINATION = f"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+items AS MATERIALIZED (SELECT row_number() OVER () AS rid, item_id, text FROM benchmark),
+d AS MATERIALIZED ({_shingles("docs", "doc_id")}),
+b AS MATERIALIZED ({_shingles("items", "item_id")}),
+n AS (SELECT rid, count(*) AS n_item FROM b GROUP BY rid)
+SELECT any_value(d.id) AS doc_id, any_value(b.id) AS item_id, n_item, count(*) AS n_shared, CAST(count(*) AS DOUBLE) / n_item AS containment
+FROM d JOIN b ON d.sh = b.sh JOIN n ON b.rid = n.rid GROUP BY d.rid, b.rid, n_item HAVING 5 * count(*) >= 4 * n_item
+"""
+
+_JACCARD = f"""
+WITH RECURSIVE docs AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+d AS MATERIALIZED ({_shingles("docs", "doc_id", short=True)}),
+sets AS MATERIALIZED (SELECT rid, any_value(id) AS id, count(*) AS n, md5(string_agg(sh, '|' ORDER BY sh)) AS node FROM d GROUP BY rid),
+nodes AS MATERIALIZED (SELECT node, min(rid) AS rid, any_value(n) AS n, count(*) AS copies, min(id) AS least FROM sets GROUP BY node),
+s AS MATERIALIZED (SELECT node, n, sh FROM d JOIN nodes USING (rid)),
+links AS MATERIALIZED (
+    SELECT a.node AS a, b.node AS b FROM s a JOIN s b ON a.sh = b.sh AND a.node <> b.node
+    GROUP BY a.node, b.node, a.n, b.n HAVING 5 * count(*) >= 4 * (a.n + b.n - count(*))
+),
+reach AS (SELECT node AS a, node AS b FROM nodes UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+class AS (SELECT a AS node, min(least) AS class_id FROM reach JOIN nodes ON b = node GROUP BY a),
+linked AS (SELECT a AS node, CAST(sum(copies) AS BIGINT) AS others FROM links JOIN nodes ON b = node GROUP BY a),
+found AS (
+    SELECT sets.rid, class_id, copies - 1 + coalesce(others, 0) AS n_links
+    FROM sets JOIN nodes USING (node) JOIN class USING (node) LEFT JOIN linked USING (node)
+)
+SELECT doc_id, CASE WHEN found.rid IS NULL THEN doc_id ELSE class_id END AS class_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
+FROM docs LEFT JOIN found ON docs.rid = found.rid
+"""
+
+
 def _url_filter(rules) -> str:
     values = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in rules)
     return f"""
@@ -242,7 +284,9 @@ FROM y
 def statements(url_rules) -> dict[str, str]:
     return {
         "op4_personal_data": _personal_data(),
+        "op6_benchmark_decontamination": _CONTAMINATION,
         "op7_quality_rules": _QUALITY,
+        "op8_ngram_jaccard_join": _JACCARD,
         "op9_url_filter": _url_filter(url_rules),
         "op11_merkle_manifest": _manifest(),
         "op12_mixing": _MIXING,

@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "labels"):
+    for table in ("documents", "pages", "labels", "benchmark"):
         con.sql(f"create view {table} as select * from '{SF}/{table}.parquet'")
     found = con.sql(oracle_sql()[name])
     df = queries()[name](spark, SF)
