@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -82,25 +83,138 @@ def count_grams(docs: DataFrame, order: int) -> DataFrame:
 
 
 def collect_grams(counted: DataFrame, max_cells: int) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Labels, sorted n-grams and a count for each label, of the most frequent n-grams: at most ``max_cells`` counts.
+    """Labels, sorted n-grams and a count for each label, of a model that fits into one shard; else this raises."""
+    grams = Grams(counted, 0, max_cells)
+    if grams.shards > 1:
+        raise ValueError(f"more than {max_cells} counts")
+    return grams.labels, *grams.collect(0)
 
-    Counts come from every text; the bound only prunes the tree that is kept,
-    so that its size on the driver and on each machine is known whatever the
-    size of the corpus.
+
+_SPREAD = 40503  # an odd factor that scatters the two bytes a shard is chosen by
+
+
+def _shard(context, shards: int):
+    """The shard of the two bytes before a byte, of numbers or a column of them."""
+    return (context * _SPREAD) % 65536 % shards
+
+
+class Grams:
+    """All counts of a model, stored, and dealt to as many shards as it takes to hold about ``max_cells`` counts in each.
+
+    The shard of a byte follows from the two bytes before it. So a shard has all
+    n-grams of three bytes and more that end in its bytes, with exact counts, and
+    a text's score is the sum of what its bytes score in their shards. The n-grams
+    of one and two bytes, 65,792 at most, are in every shard. The driver and each
+    machine hold one shard at a time; nothing is left out, whatever the corpus.
+    """
+
+    def __init__(self, counted: DataFrame, order: int, max_cells: int):
+        self.counted, self.order = cut(counted), order
+        self.labels = sorted(r["label"] for r in self.counted.select("label").distinct().collect())
+        cells = self.counted.select("gram").distinct().count() * len(self.labels)
+        self.shards = 1 if 0 < order < 3 else max(1, -(-cells // max_cells))
+        self.low: tuple[np.ndarray, ...] | None = None
+        if self.shards > 1:
+            self.low = self._pairs()
+
+    def _wide(self) -> list[Column]:
+        return [F.coalesce(F.sum(F.when(F.col("label") == x, F.col("n"))), F.lit(0)).alias(f"n{k}") for k, x in enumerate(self.labels)]
+
+    def _arrays(self, found: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(found["gram"].to_numpy())
+        counts = np.empty((len(found), len(self.labels)))
+        for k in range(len(self.labels)):
+            counts[:, k] = found[f"n{k}"].to_numpy()[order]
+        return found["gram"].to_numpy()[order].astype(np.uint64), counts
+
+    def collect(self, shard: int) -> tuple[np.ndarray, np.ndarray]:
+        """The longest n-grams of a shard, sorted, and their counts by label."""
+        rows = self.counted
+        if self.shards > 1:
+            context = F.shiftright("gram", 8).bitwiseAND(0xFFFF)
+            rows = rows.where(_shard(context, self.shards) == shard)
+        return self._arrays(rows.groupBy("gram").agg(*self._wide()).toPandas())
+
+    def _pairs(self) -> tuple[np.ndarray, ...]:
+        """All n-grams of two bytes: keys, counts by label, and how many n-grams of three bytes end in each."""
+        threes = self.counted.groupBy("label", F.col("gram").bitwiseAND(0xFFFFFF).alias("three")).agg(F.sum("n").alias("n"))
+        pairs = threes.withColumn("gram", F.col("three").bitwiseAND(0xFFFF))
+        found = pairs.groupBy("gram").agg(*self._wide(), F.count_distinct("three").alias("distinct")).toPandas()
+        order = np.argsort(found["gram"].to_numpy())
+        return *self._arrays(found), found["distinct"].to_numpy()[order].astype(np.float64)
+
+    def tree(self, shard: int) -> list[Level]:
+        keys, counts = self.collect(shard)
+        return levels(keys, counts, self.order, self.low)
+
+
+def _sums(lookup: Lookup, texts: list[str], order: int, shard: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each text the sum of its bytes' value rows, as far as they are the shard's, and its bytes."""
+    key, begin = keys_of(texts, order)
+    n = np.diff(begin)
+    sums = np.zeros((len(texts), len(lookup.floor)))
+    if shards == 1:
+        full = n > 0
+        if full.any():
+            sums[full] = np.add.reduceat(lookup.rows(key), begin[:-1][full], axis=0, dtype=np.float64)
+        return sums, n
+    own = _shard((key >> _U(8)) & _U(0xFFFF), _U(shards)) == shard
+    rows, owner = lookup.rows(key[own]), np.repeat(np.arange(len(texts)), n)[own]
+    for k in range(rows.shape[1]):
+        sums[:, k] = np.bincount(owner, weights=rows[:, k], minlength=len(texts))
+    return sums, n
+
+
+def scored(
+    rows: DataFrame,
+    grams: Grams,
+    lookup_of: Callable[[list[Level]], Lookup],
+    finish: Callable[[pd.DataFrame, np.ndarray, np.ndarray], pd.DataFrame],
+    schema: str,
+) -> DataFrame:
+    """``finish`` of batches of ``rows`` (with a column ``text``), their texts' sums of value rows and their bytes.
+
+    A model of one shard is broadcast and the texts are read once. With more
+    shards every one is broadcast in turn and adds its part: sums by text (by
+    its SHA-256) are stored, added, and joined to the rows.
     """
-    counted = cut(counted)
-    labels = sorted(r["label"] for r in counted.select("label").distinct().collect())
-    if not labels:
-        return [], np.zeros(0, dtype=np.uint64), np.zeros((0, 0))
-    wide = counted.groupBy("gram").agg(
-        F.sum("n").alias("all"), *[F.coalesce(F.sum(F.when(F.col("label") == x, F.col("n"))), F.lit(0)).alias(f"n{k}") for k, x in enumerate(labels)]
+    context, order, shards = rows.sparkSession.sparkContext, grams.order, grams.shards
+    if shards == 1:
+        model = context.broadcast(lookup_of(grams.tree(0)))
+
+        def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for pdf in steps(batch):
+                    yield finish(pdf, *_sums(model.value, list(pdf["text"]), order, 0, 1))
+
+        return rows.mapInPandas(whole, schema)
+
+    keyed = rows.withColumn("text_key", F.sha2(F.coalesce("text", F.lit("")), 256))
+    parts = []
+    for shard in range(shards):
+        model = context.broadcast(lookup_of(grams.tree(shard)))
+
+        def part(batches: Iterator[pd.DataFrame], model=model, shard=shard) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for pdf in steps(batch):
+                    sums, n = _sums(model.value, list(pdf["text"]), order, shard, shards)
+                    yield pd.DataFrame({"text_key": pdf["text_key"], "sums": list(sums), "n": n})
+
+        found = keyed.select("text_key", "text").mapInPandas(part, "text_key string, sums array<double>, n long")
+        parts.append(cut(found.groupBy("text_key").agg(F.first("sums").alias("sums"), F.first("n").alias("n"))))
+        model.unpersist()
+    width = len(grams.labels)
+    added = reduce(DataFrame.unionByName, parts).groupBy("text_key").agg(
+        F.array(*[F.sum(F.get("sums", F.lit(k))) for k in range(width)]).alias("text_sums"), F.first("n").alias("text_bytes")
     )
-    kept = wide.orderBy(F.desc("all"), "gram").limit(max(1, max_cells // len(labels))).drop("all").toPandas()
-    order = np.argsort(kept["gram"].to_numpy())
-    counts = np.empty((len(kept), len(labels)))
-    for k in range(len(labels)):
-        counts[:, k] = kept[f"n{k}"].to_numpy()[order]
-    return labels, kept["gram"].to_numpy()[order].astype(np.uint64), counts
+
+    def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for pdf in steps(batch):
+                sums = np.array([[x if x is not None else 0.0 for x in row] for row in pdf["text_sums"]]).reshape(len(pdf), -1)
+                yield finish(pdf, sums, pdf["text_bytes"].to_numpy())
+
+    return keyed.join(added, "text_key").mapInPandas(joined, schema)
 
 
 def held_out() -> Column:
@@ -127,15 +241,22 @@ class Level:
         return np.searchsorted(shorter.keys, self.keys & _U((1 << 8 * shorter.length) - 1))
 
 
-def levels(keys: np.ndarray, counts: np.ndarray, order: int) -> list[Level]:
-    """Context levels of length 1 to ``order``; the shorter ones follow from the longest n-grams' suffixes."""
+def levels(keys: np.ndarray, counts: np.ndarray, order: int, pairs: tuple[np.ndarray, ...] | None = None) -> list[Level]:
+    """Context levels of length 1 to ``order``; the shorter ones follow from the longest n-grams' suffixes.
+
+    Where ``keys`` are a shard's, the n-grams of two bytes are given (keys,
+    counts, how many longer ones end in each), as other shards have their share of them.
+    """
     out = [Level(keys, counts, np.ones(len(keys)), order)]
     for length in range(order - 1, 0, -1):
-        short = keys & _U((1 << 8 * length) - 1)
-        order_ = np.argsort(short, kind="stable")
-        first = np.flatnonzero(np.concatenate(([True], np.diff(short[order_]) > 0)))
-        seen = np.diff(np.append(first, len(short))).astype(np.float64)
-        keys, counts = short[order_][first], np.add.reduceat(counts[order_], first, axis=0)
+        if length == 2 and pairs is not None:
+            keys, counts, seen = pairs
+        else:
+            short = keys & _U((1 << 8 * length) - 1)
+            order_ = np.argsort(short, kind="stable")
+            first = np.flatnonzero(np.concatenate((np.ones(min(1, len(short)), dtype=bool), np.diff(short[order_]) > 0)))
+            seen = np.diff(np.append(first, len(short))).astype(np.float64)
+            keys, counts = short[order_][first], np.add.reduceat(counts[order_], first, axis=0)
         out.append(Level(keys, counts, seen, length))
     return out[::-1]
 

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporium.llm.byte_grams import Level, Lookup, collect_grams, count_grams, held_out, keys_of, levels
-from emporium.llm.common import ship, steps
+from emporium.llm.byte_grams import Grams, Level, Lookup, count_grams, held_out, scored
+from emporium.llm.common import ship
 
 UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -38,17 +37,14 @@ def code_lengths(tree: list[Level]) -> Lookup:
     return Lookup(tree, values, escapes, np.full(tree[0].counts.shape[1], 8.0))
 
 
-def train(docs: DataFrame, context: int = 4, max_cells: int = 4_000_000) -> tuple[list[str], Lookup | None]:
-    """Languages and their trees, from all rows of ``docs(doc_id, text, lang)`` that are not held out.
+def train(docs: DataFrame, context: int = 4, max_cells: int = 4_000_000) -> Grams:
+    """All counts of the languages of ``docs(doc_id, text, lang)``, from every whole text that is not held out.
 
-    Every such text is counted, whole, in Spark; ``max_cells`` bounds the counts
-    that are kept in the trees (the most frequent n-grams), hence what is sent
-    to the driver and to each machine.
+    ``max_cells`` says how many counts the driver and each machine hold at a
+    time: a larger model is used in shards (:class:`Grams`), never cut.
     """
     rows = docs.where(~held_out()).where("doc_id is not null and lang is not null and text is not null")
-    counted = count_grams(rows.select(F.col("lang").alias("label"), "text"), context + 1)
-    languages, keys, counts = collect_grams(counted, max_cells)
-    return languages, code_lengths(levels(keys, counts, context + 1)) if len(keys) else None
+    return Grams(count_grams(rows.select(F.col("lang").alias("label"), "text"), context + 1), context + 1, max_cells)
 
 
 def identify(docs: DataFrame, context: int = 4, max_cells: int = 4_000_000) -> DataFrame:
@@ -60,29 +56,22 @@ def identify(docs: DataFrame, context: int = 4, max_cells: int = 4_000_000) -> D
     0, and so are all if no language could be learned. ``lang`` is only read
     from rows that are not held out, to learn; ties go to the first language in
     alphabetical order. Rows with a null doc_id are predicted but not learned
-    from. Repeated rows are judged alike; other columns are ignored.
+    from. Repeated rows are judged alike; other columns are ignored; an empty
+    table gives no rows. A very long text is coded whole, in a step of its own.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    model = spark.sparkContext.broadcast(train(docs, context, max_cells))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        languages, lookup = model.value
-        for batch in batches:
-            for pdf in steps(batch):
-                texts = list(pdf["text"])
-                named = np.array([lookup is not None and _LETTER.search(t) is not None for t in texts])
-                best, score = np.full(len(texts), UNDETERMINED, dtype=object), np.zeros(len(texts))
-                if named.any():
-                    bits = _bits(lookup, [t for t, ok in zip(texts, named) if ok], context + 1)
-                    best[named] = np.array(languages, dtype=object)[bits.argmin(axis=1)]
-                    score[named] = 1 / np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000)).sum(axis=1)
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "held_out": pdf["held_out"], "lang_pred": best, "score": score})
-
+    ship(docs.sparkSession)
+    grams = train(docs, context, max_cells)
+    languages = grams.labels
     rows = docs.select("doc_id", held_out().alias("held_out"), "text")
-    return rows.mapInPandas(run, "doc_id long, held_out boolean, lang_pred string, score double")
-
-
-def _bits(lookup: Lookup, texts: list[str], order: int) -> np.ndarray:
-    key, begin = keys_of(texts, order)
-    return np.add.reduceat(lookup.rows(key), begin[:-1], axis=0, dtype=np.float64)
+    if not languages:
+        return rows.select("doc_id", "held_out", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+
+    def finish(pdf: pd.DataFrame, bits: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+        named = np.array([_LETTER.search(t) is not None for t in pdf["text"]], dtype=bool)
+        best, score = np.full(len(pdf), UNDETERMINED, dtype=object), np.zeros(len(pdf))
+        bits = bits[named]
+        best[named] = np.array(languages, dtype=object)[bits.argmin(axis=1)]
+        score[named] = 1 / np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000)).sum(axis=1)
+        return pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "held_out": pdf["held_out"], "lang_pred": best, "score": score})
+
+    return scored(rows, grams, code_lengths, finish, "doc_id long, held_out boolean, lang_pred string, score double")

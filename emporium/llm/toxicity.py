@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporium.llm.byte_grams import Level, Lookup, collect_grams, count_grams, held_out, keys_of, levels
-from emporium.llm.common import ship, steps
+from emporium.llm.byte_grams import Grams, Level, Lookup, count_grams, held_out, scored
+from emporium.llm.common import ship
 
 CLASSES = ("ordinary", "toxic")
 THRESHOLD = 0.3
@@ -65,52 +63,44 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> np.ndarray:
     return w
 
 
-def _ratios(model, order: int):
-    """Log-likelihood ratio and length in bytes of each text; other columns stay."""
+_RATIOS = "doc_id long, {extra}, ratio double, n long"
+
+
+def _ratios(rows: DataFrame, grams: Grams, extra: str) -> DataFrame:
+    """Log-likelihood ratio and length in bytes of each text of ``rows(doc_id, <extra>, text)``; 0 without two classes."""
+    name = extra.split()[0]
+    if grams.labels != list(CLASSES):
+        return rows.select("doc_id", name, F.lit(0.0).alias("ratio"), F.lit(0).cast("long").alias("n"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lookup = model.value
-        for batch in batches:
-            for pdf in steps(batch):
-                ratio, n = np.zeros(len(pdf)), np.zeros(len(pdf), dtype=np.int64)
-                if lookup is not None:
-                    key, begin = keys_of(list(pdf["text"]), order)
-                    n = np.diff(begin)
-                    full = n > 0
-                    if full.any():
-                        ratio[full] = np.add.reduceat(lookup.rows(key)[:, 0], begin[:-1][full], dtype=np.float64)
-                out = pdf.drop(columns="text").assign(ratio=ratio, n=n)
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
+    def finish(pdf: pd.DataFrame, sums: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), name: pdf[name], "ratio": sums[:, 0], "n": n})
 
-    return run
+    return scored(rows, grams, log_ratios, finish, _RATIOS.format(extra=extra))
 
 
-def train(docs: DataFrame, labels: DataFrame, order: int = 5, max_cells: int = 4_000_000, fit_rows: int = 50_000, broadcast_labels: int = 2_000_000):
-    """The two models' broadcast log ratios and the weights of the score.
+def train(docs: DataFrame, labels: DataFrame, order: int = 5, max_cells: int = 4_000_000, fit_rows: int = 50_000, broadcast_labels: int = 2_000_000) -> tuple[Grams, np.ndarray]:
+    """The two models' counts and the weights of the score.
 
     Learns from rows of ``labels(doc_id, toxic)`` whose document is not held
     out. Four fifths (by a hash of doc_id) are counted, whole and all of them;
-    ``max_cells`` bounds the counts that are kept. The score's three weights are
-    fitted on the remaining fifth, on at most ``fit_rows`` of its rows.
+    ``max_cells`` says how many counts are held at a time (:class:`Grams`). The
+    score's three weights are fitted on the remaining fifth, on at most
+    ``fit_rows`` of its rows.
     """
-    spark = docs.sparkSession
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").alias("toxic"))
     if known.limit(broadcast_labels + 1).count() <= broadcast_labels:
         known = F.broadcast(known)
     rows = docs.select("doc_id", "text").where(~held_out()).where("text is not null").join(known, F.col("doc_id") == F.col("label_id"))
     fitted = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
     label = F.when(F.col("toxic") == 1, CLASSES[1]).otherwise(CLASSES[0])
-    found, keys, counts = collect_grams(count_grams(rows.where(~fitted).select(label.alias("label"), "text"), order), max_cells)
-    both = list(found) == list(CLASSES)
-    model = spark.sparkContext.broadcast(log_ratios(levels(keys, counts, order)) if both else None)
-    held = rows.where(fitted).select("doc_id", "toxic", "text").mapInPandas(_ratios(model, order), "doc_id long, toxic int, ratio double, n long")
+    grams = Grams(count_grams(rows.where(~fitted).select(label.alias("label"), "text"), order), order, max_cells)
+    held = _ratios(rows.where(fitted).select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text"), grams, "toxic int")
     pdf = held.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).toPandas()
     weights = fit(features(pdf["ratio"].to_numpy(), pdf["n"].to_numpy()), (pdf["toxic"] == 1).to_numpy(dtype=float))
-    return model, weights
+    return grams, weights
 
 
-def score(docs: DataFrame, labels: DataFrame, order: int = 5, threshold: float = THRESHOLD) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, order: int = 5, threshold: float = THRESHOLD, max_cells: int = 4_000_000) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` of every row of ``docs(doc_id, text)``.
 
     A whole text's log-likelihood under the toxic model less that under the
@@ -120,11 +110,12 @@ def score(docs: DataFrame, labels: DataFrame, order: int = 5, threshold: float =
     is what the weights give to no evidence. Without labelled rows of both
     classes every text is scored like that. Rows with a null doc_id are scored
     and never learned from; of repeated labels of a document the largest counts.
+    Other columns are ignored; an empty table gives no rows. A very long text is
+    scored whole, in a step of its own.
     """
     ship(docs.sparkSession)
-    model, weights = train(docs, labels, order)
-    rows = docs.select("doc_id", held_out().alias("held_out"), "text")
-    found = rows.mapInPandas(_ratios(model, order), "doc_id long, held_out boolean, ratio double, n long")
+    grams, weights = train(docs, labels, order, max_cells)
+    found = _ratios(docs.select("doc_id", held_out().alias("held_out"), "text"), grams, "held_out boolean")
     n = F.greatest(F.col("n"), F.lit(1))
     z = F.lit(float(weights[0])) + float(weights[1]) * F.asinh(20 * F.col("ratio") / n) + float(weights[2]) * F.asinh(F.col("ratio") / F.sqrt(n))
     judged = found.select("doc_id", "held_out", (1 / (1 + F.exp(-z))).alias("score"))

@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pytest
 
-from emporium.llm.byte_grams import collect_grams, count_grams, keys_of, levels
+from emporium.llm.byte_grams import Grams, _sums, collect_grams, count_grams, keys_of, levels
 from emporium.llm.language_id import code_lengths, identify
 from emporium.llm.toxicity import log_ratios, score
 
@@ -164,3 +164,35 @@ def test_toxic_documents_are_told_apart(spark):
     unlabelled = score(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
     assert unlabelled.select("score").distinct().count() == 1
     assert score(docs.limit(0), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).count() == 0
+
+
+@pytest.mark.parametrize("lookup_of", [code_lengths, log_ratios])
+def test_shards_add_up_to_the_whole_model(spark, lookup_of):
+    rnd = random.Random(5)
+    labelled = [(x, syllables(rnd, ["ka", "lo", "é😀", "ter "], 40)) for x in "ab" * 8]
+    counted = count_grams(spark.createDataFrame(labelled, "label string, text string").repartition(3), 5)
+    whole, dealt = Grams(counted, 5, 10**6), Grams(counted, 5, 150)
+    assert whole.shards == 1 and dealt.shards >= 4
+    assert sum(len(dealt.collect(k)[0]) for k in range(dealt.shards)) == len(whole.collect(0)[0])
+    texts = [t for _, t in labelled[:4]] + ["", "zzz", "kalo terx\n", "é"]
+    want, n = _sums(lookup_of(whole.tree(0)), texts, 5, 0, 1)
+    got = sum(_sums(lookup_of(dealt.tree(k)), texts, 5, k, dealt.shards)[0] for k in range(dealt.shards))
+    assert got == pytest.approx(want, rel=1e-4, abs=1e-3)
+    with pytest.raises(ValueError):
+        collect_grams(counted, 150)
+
+
+def test_sharded_results_are_those_of_one_shard(spark):
+    rnd = random.Random(6)
+    parts = {"xx": ["ka", "lo", "mi"], "yy": ["ter", "sch", "lo"]}
+    rows = [(i, syllables(rnd, parts[x], rnd.randint(1, 30)), x, "s") for i, x in enumerate(["xx", "yy"] * 40)]
+    rows += [(900, None, "xx", ""), (901, "", "yy", ""), (902, "12 !", "yy", ""), (None, rows[0][1], "yy", ""), (903, rows[1][1], None, ""), (903, rows[1][1], None, "")]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    whole, dealt = (sorted(identify(docs, max_cells=m).collect(), key=repr) for m in (10**6, 120))
+    assert [r[:3] for r in whole] == [r[:3] for r in dealt] and len(dealt) == len(rows)
+    assert [r.score for r in dealt] == pytest.approx([r.score for r in whole], abs=1e-3)
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(80)], "doc_id long, quality int, toxic int")
+    whole, dealt = ({(r.doc_id, r.held_out, round(r.score, 3)) for r in score(docs, labels, max_cells=m).collect()} for m in (10**6, 120))
+    assert {r[:2] for r in whole} == {r[:2] for r in dealt}
+    a, b = (dict(((d, h), s) for d, h, s in x) for x in (whole, dealt))
+    assert all(abs(a[k] - b[k]) < 0.01 for k in a)
