@@ -183,7 +183,8 @@ def manifest(
     leaves = docs.select(
         tree.alias("tree"), F.col(order).alias("doc_id"), original.alias("digest"), F.when(where, changed).alias("version_leaf")
     )
-    numbered = number_within(leaves, "tree", ["doc_id", "digest"], "place").withColumn("place", F.col("place") - 1)
+    # Stored before they are ranged: the range partitioning samples its input first, and would hash every text twice.
+    numbered = number_within(stored(leaves, "hashed"), "tree", ["doc_id", "digest"], "place").withColumn("place", F.col("place") - 1)
     rows = _rows_of_nodes(stored(numbered, "leaves"), width, height)
 
     subroots = rows[-1].select(F.lit("top").alias("top"), F.col("tree").alias("of"), "digest")

@@ -71,3 +71,23 @@ def test_nulls_and_empty_tables(spark, folder):
 def test_a_table_of_the_given_data(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 100 and out.groupBy("sequence_id").sum("length").where("`sum(length)` > 4096").count() == 0
+
+
+def test_rows_are_decided_one_by_one(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    first, second, third, item = texts[0], texts[1], texts[4], texts[120]
+    rows = [
+        (7, first, "a"), (7, second, "b"),  # one id, two texts
+        (None, first, "c"), (None, third, "d"), (None, third, "e"),  # no id: a copy of another row, and repeats
+        (8, second, "f"), (9, item, "g"), (9, texts[5], "h"), (None, item + " more", "i"), (8, None, "j"), (8, None, "k"),
+    ]
+    some = spark.createDataFrame([(i, t, "en", s, 0, 1) for i, t, s in rows], COLUMNS + ", row_key int")
+
+    def kept(df):
+        assert df.columns == some.columns
+        return {r.source for r in df.collect()}
+
+    unique = kept(corpus_pipeline.near_duplicates(spark, some, folder))
+    assert unique - {"d", "e"} == {"a", "b", "g", "h", "j", "k"} and len(unique & {"d", "e"}) == 1
+    assert kept(corpus_pipeline.decontaminated(spark, some, folder)) == set("abcdefhjk")
