@@ -22,25 +22,51 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep(docs)
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of its own for each row, by id and text, and the key's name.
+
+    An id may be missing, or be on several texts; rows that agree in both are repeats.
+    """
+    key = "row_key"
+    while any(c.startswith(key) for c in docs.columns):  # further names are made from it
+        key += "_"
+    return docs.withColumn(key, F.xxhash64("doc_id", "text")), key
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each similarity class stays: the one with the least doc_id.
+    """One document of each similarity class stays: the one with the least doc_id, rows without one last.
 
-    Rows that repeat that doc_id are reduced to one. A row without a doc_id
-    cannot be named by a class and stays.
+    Decided row by row: a row without a doc_id is in a class like any other,
+    and rows that share an id with different texts are different documents. Rows
+    that repeat both id and text are one document, and one of them stays. A text
+    without a word is in no class and stays, repeated or not. Other columns are
+    carried through; an empty table stays empty.
     """
-    keep = jaccard_join(docs).where("doc_id = class_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.join(keep, named["doc_id"] == keep["kept_id"], "left_semi").unionByName(docs.where("doc_id is null"))
+    keyed, key = _keyed(docs)
+    joined = jaccard_join(keyed.select(F.col(key).alias("doc_id"), "text")).where("n_links > 0")
+    linked = joined.select(F.col("doc_id").alias("linked_key"), "class_id").distinct()
+    ids = keyed.select(F.col(key).alias("named_key"), "doc_id").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "linked_key"))
+    stays = linked.join(ids, linked["linked_key"] == ids["named_key"]).groupBy("class_id").agg(first["linked_key"].alias("kept_key"))
+    linked_key, one = f"{key}_linked", f"{key}_stays"
+    decided = linked.join(stays, "class_id").select(F.col("linked_key").alias(linked_key), (F.col("linked_key") == F.col("kept_key")).alias(one))
+    found = keyed.join(decided, F.col(key) == F.col(linked_key), "left").where(F.col(one).isNull() | F.col(one))
+    # Of a class's rows only repeats are left; every row of no class is told apart.
+    apart = F.when(F.col(one).isNull(), F.monotonically_increasing_id()).otherwise(-1)
+    return found.withColumn(one, apart).dropDuplicates([key, one]).select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold 80 % or more of a benchmark item's five-word shingles go.
 
-    A row without a doc_id cannot be named by a match and stays.
+    Decided row by row: a row without a doc_id goes like any other, and one
+    that only shares its id with a contaminated text stays.
     """
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    hit = contamination(docs, items).select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, docs["doc_id"] == hit["hit_id"], "left_anti")
+    keyed, key = _keyed(docs)
+    found = contamination(keyed.select(F.col(key).alias("doc_id"), "text"), items)
+    hit = found.select(F.col("doc_id").alias(f"{key}_hit")).distinct()
+    return keyed.join(hit, F.col(key) == F.col(f"{key}_hit"), "left_anti").select(*docs.columns)
 
 
 def personal_data_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
