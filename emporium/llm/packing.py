@@ -210,7 +210,9 @@ def _local_search(lengths, bins, room, least, capacity, effort) -> None:
     n = len(room)
     underfull = [b for b in range(n) if room[b] > 0]
     items: dict[int, list[tuple[int, int]]] = {b: [] for b in underfull}
-    for i in np.flatnonzero(np.isin(bins, underfull)):
+    members = np.flatnonzero(np.isin(bins, underfull))
+    under, wide = np.array(underfull, dtype=np.int64), 4 * capacity
+    for i in members:
         insort(items[int(bins[i])], (int(lengths[i]), int(i)))
     live, left = n, effort
     heap = [(capacity - room[b], b) for b in underfull]
@@ -223,43 +225,69 @@ def _local_search(lengths, bins, room, least, capacity, effort) -> None:
         room[target] -= size
         bins[i] = target
 
+    def exchange(b: int, size: int, i: int, t: int) -> tuple:
+        """The best exchange of item ``i`` of ``b`` with bin ``t``: (t, items that go, items that come)."""
+        r, own = room[t], items[t]
+        if r >= size:
+            return t, [(i, size)], []
+        k = bisect_left(own, (size - r, -1))  # one for one: the least that leaves enough room
+        gain, what = (size - own[k][0], (t, [(i, size)], [own[k]])) if k < len(own) and own[k][0] < size else (0, None)
+        if gain < r:
+            for two in _two(own, size - r, size):  # one for two
+                if size - two[0][0] - two[1][0] > gain:
+                    gain, what = size - two[0][0] - two[1][0], (t, [(i, size)], two)
+        if gain < r:
+            for size2, i2 in items[b]:  # two for one
+                if i2 == i:
+                    continue
+                k = bisect_left(own, (size + size2 - r, -1))
+                if k < len(own) and gain < size + size2 - own[k][0]:
+                    gain, what = size + size2 - own[k][0], (t, [(i, size), (i2, size2)], [own[k]])
+        return what
+
     def lighten(b: int) -> bool:
         """One exchange that moves fill from ``b`` to a bin at least as full afterwards."""
         nonlocal left
+        # All targets' items in a row, by target and size: what every target could gain is found at once.
+        which = np.searchsorted(under, bins[members])
+        order = np.lexsort((members, lengths[members], which))
+        which, own = which[order], lengths[members][order]
+        key, ends = which * wide + own, np.searchsorted(which, np.arange(1, len(under) + 1))
+        rooms = np.fromiter((room[t] for t in underfull), dtype=np.int64, count=len(underfull))
+        target = np.flatnonzero((rooms > 0) & (np.diff(ends, prepend=0) > 0) & (under != b))
+        r = rooms[target]
+        if not len(target):
+            return False
+        mine = np.flatnonzero(np.isin(which, target))
+        owner, end = which[mine], ends[which[mine]]
+
+        def closest(low: np.ndarray) -> np.ndarray:
+            """Of each target the least item of ``low`` or more."""
+            at = np.searchsorted(key, target * wide + np.maximum(low, 0))
+            return np.where(at < ends[target], own[np.minimum(at, len(own) - 1)], wide)
+
         for size, i in reversed(items[b]):
             if left <= 0:
                 return False
             left -= len(underfull)
-            best = None
-            for t in underfull:
-                r = room[t]
-                if t == b or not r or not items[t]:
-                    continue
-                if r >= size:
-                    gain, what = size, (t, [(i, size)], [])
-                else:
-                    own = items[t]
-                    k = bisect_left(own, (size - r, -1))  # one for one: the least that leaves enough room
-                    gain, what = (size - own[k][0], (t, [(i, size)], [own[k]])) if k < len(own) and own[k][0] < size else (0, None)
-                    if gain < r:
-                        for two in _two(own, size - r, size):  # one for two
-                            if size - two[0][0] - two[1][0] > gain:
-                                gain, what = size - two[0][0] - two[1][0], (t, [(i, size)], two)
-                    if gain < r:
-                        for size2, i2 in items[b]:  # two for one
-                            if i2 == i:
-                                continue
-                            k = bisect_left(own, (size + size2 - r, -1))
-                            if k < len(own) and gain < size + size2 - own[k][0]:
-                                gain, what = size + size2 - own[k][0], (t, [(i, size), (i2, size2)], [own[k]])
-                if what and (capacity - r) + gain > capacity - room[b] and (best is None or gain > best[0] or gain == best[0] and r < best[1]):
-                    best = (gain, r, what)
-            if best:
-                target, out, back = best[2]
+            least_one = closest(size - r)
+            gain = np.zeros(len(under), dtype=np.int64)
+            partner = np.maximum(mine + 1, np.searchsorted(key, owner * wide + np.maximum(size - rooms[owner] - own[mine], 0)))
+            two = own[mine] + np.where(partner < end, own[np.minimum(partner, len(own) - 1)], wide)
+            np.maximum.at(gain, owner, size - two)
+            gain = np.maximum(gain[target], np.maximum(size - least_one, 0))
+            for size2, i2 in items[b]:
+                if i2 != i:
+                    gain = np.maximum(gain, size + size2 - closest(size + size2 - r))
+            gain = np.where(r >= size, size, gain)
+            good = np.flatnonzero((gain > 0) & (gain > r - room[b]))
+            if len(good):
+                best = good[np.lexsort((target[good], r[good], -gain[good]))[0]]
+                to, out, back = exchange(b, size, i, int(under[target[best]]))
                 for i, s in out:
-                    put(i, s, b, target)
+                    put(i, s, b, to)
                 for s, i in back:
-                    put(i, s, target, b)
+                    put(i, s, to, b)
                 return True
         return False
 

@@ -1,5 +1,6 @@
 import random
 import zlib
+from bisect import bisect_left
 
 import numpy as np
 import public_tokenizers
@@ -8,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from emporium.llm import packing
 from emporium.llm.packing import Encoder, pack, pack_lengths
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -76,3 +78,19 @@ def test_pieces_fill_their_sequences(spark, shard_docs):
 
 def test_empty_table(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+def test_the_search_looks_at_all_bins_at_once(monkeypatch):
+    """A bin that cannot be emptied costs a few steps, not one for each other bin and pair of items."""
+    calls = [0]
+
+    def counted(*args):
+        calls[0] += 1
+        return bisect_left(*args)
+
+    monkeypatch.setattr(packing, "bisect_left", counted)
+    lengths = np.random.default_rng(3).integers(1000, 2000, 1500)
+    which = packing.pack_lengths(lengths, 4096)
+    assert np.bincount(which, weights=lengths).max() <= 4096
+    assert which.max() + 1 > -(-int(lengths.sum()) // 4096)  # the search has run to its end
+    assert calls[0] < 100_000
